@@ -9,7 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from weeksignal.session import cut_lineage
+
 RANGES = 200
+# Distinct values that one task may sort: a few numbers each, so below 200 MB.
+ONE_TASK_ROWS = 4_000_000
 
 
 def value_counts(df: DataFrame, value: str, keys: list[str] = (), weights: dict[str, Column] | None = None) -> DataFrame:
@@ -21,15 +25,15 @@ def value_counts(df: DataFrame, value: str, keys: list[str] = (), weights: dict[
     return clean.groupBy(*keys, value).agg(*aggs)
 
 
-def _range_bounds(counts: DataFrame, value: str, ranges: int) -> Column:
+def _range_bounds(counts: DataFrame, value: str, ranges: int) -> list[float]:
     """Boundaries from the ``ranges`` distinct values with the smallest hashes.
 
-    The choice depends on the values alone, so it comes out the same however often
-    and in whatever order it is evaluated, and its size is fixed.
+    A fixed number of values reaches the driver, and the draw depends on the values
+    alone, not on the order in which partitions arrive.
     """
     v = F.col(value).cast("double")
-    drawn = counts.select(v.alias("v")).orderBy(F.xxhash64("v"), "v").limit(ranges)
-    return drawn.agg(F.array_sort(F.collect_set("v"))).scalar()
+    drawn = counts.select(v.alias("v")).orderBy(F.xxhash64("v"), "v").limit(ranges).collect()
+    return sorted({row.v for row in drawn})
 
 
 def running_totals(
@@ -39,36 +43,41 @@ def running_totals(
     keys: list[str] = (),
     descending: bool = False,
     ranges: int = RANGES,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Add ``cum_<s>``, the total of ``s`` up to and including each distinct value.
 
-    ``counts`` holds one row per (keys, value).
+    ``counts`` holds one row per (keys, value). It is written out first, since it is
+    read several times and its size decides the plan: a table small enough for one
+    task takes a plain window, a larger one is cut into value ranges.
     """
     keys = list(keys)
-    bounds = _range_bounds(counts, value, ranges)
+    counts = cut_lineage(counts, "counts")
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    if counts.count() <= one_task_rows:
+        whole = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(order)
+        whole = whole.rowsBetween(Window.unboundedPreceding, 0)
+        return counts.withColumns({f"cum_{s}": F.sum(s).over(whole) for s in sums})
+
+    bounds = F.array(*[F.lit(b) for b in _range_bounds(counts, value, ranges)])
     v = F.col(value).cast("double")
     split = counts.withColumn("_range", F.size(F.filter(bounds, lambda b: b <= v)))
-
-    order = F.col(value).desc() if descending else F.col(value).asc()
     inside = Window.partitionBy(*keys, "_range").orderBy(order)
     inside = inside.rowsBetween(Window.unboundedPreceding, 0)
-    for s in sums:
-        split = split.withColumn(f"cum_{s}", F.sum(s).over(inside))
 
     # At most ranges + 1 rows per key.
     totals = split.groupBy(*keys, "_range").agg(*[F.sum(s).alias(f"_tot_{s}") for s in sums])
-    totals = totals.withColumn("_all", F.lit(0))
     range_order = F.col("_range").desc() if descending else F.col("_range").asc()
-    before = Window.partitionBy(*(keys or ["_all"])).orderBy(range_order)
+    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(range_order)
     before = before.rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *keys,
         "_range",
         *[F.coalesce(F.sum(f"_tot_{s}").over(before), F.lit(0)).alias(f"_off_{s}") for s in sums],
     )
-    joined = split.join(offsets, [*keys, "_range"])
-    for s in sums:
-        joined = joined.withColumn(f"cum_{s}", F.col(f"cum_{s}") + F.col(f"_off_{s}"))
+    summed = split.withColumns({f"cum_{s}": F.sum(s).over(inside) for s in sums})
+    joined = summed.join(offsets, [*keys, "_range"])
+    joined = joined.withColumns({f"cum_{s}": F.col(f"cum_{s}") + F.col(f"_off_{s}") for s in sums})
     return joined.drop("_range", *[f"_off_{s}" for s in sums])
 
 
@@ -85,9 +94,8 @@ def quantiles(
     statistic closest to ``(n - 1) * p`` (a tie goes up).
     """
     keys = list(keys)
-    counts = value_counts(df, value, keys)
-    cum = running_totals(counts, value, ["n"], keys)
-    sizes = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
+    cum = running_totals(value_counts(df, value, keys), value, ["n"], keys)
+    sizes = cum.groupBy(*keys).agg(F.sum("n").alias("_total"))
     if keys:
         cum = cum.join(sizes, keys)
         total = F.col("_total")
@@ -139,13 +147,13 @@ def cap_quantile(df: DataFrame, columns: list[str], p: float = 0.99) -> DataFram
     caps = cap_bounds(df, columns, p)
     lookup = caps.agg(F.map_from_entries(F.collect_list(F.struct("feature", "cap")))).scalar()
     types = dict(df.dtypes)
-    out = df
+    capped = {}
     for c in columns:
         cap = F.element_at(lookup, F.lit(c))
         if types[c] in ("int", "bigint"):
             cap = cap.cast("long")
-        out = out.withColumn(c, F.least(F.col(c), cap).cast(types[c]))
-    return out
+        capped[c] = F.least(F.col(c), cap).cast(types[c])
+    return df.withColumns(capped)
 
 
 def histogram_density(
@@ -189,8 +197,9 @@ def range_histogram_density(df: DataFrame, value: str, bins: int, keys: list[str
     """
     v = F.least(F.greatest(F.col(value).cast("double"), low), high)
     clipped = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
-    spans = clipped.groupBy(*keys).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n")
+    counts = clipped.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    spans = counts.groupBy(*keys).agg(
+        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_n")
     )
     # matplotlib/NumPy widen an empty span by half a unit on both sides.
     flat = F.col("_lo") == F.col("_hi")
@@ -200,7 +209,7 @@ def range_histogram_density(df: DataFrame, value: str, bins: int, keys: list[str
         F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"),
         "_n",
     )
-    counted = clipped.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")).join(spans, keys)
+    counted = counts.join(spans, keys)
     width = (F.col("_hi") - F.col("_lo")) / bins
     binned = counted.withColumn(
         "bin",

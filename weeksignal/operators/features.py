@@ -28,8 +28,8 @@ def _baseline(keys: list[str], rows: int = LOOKBACK) -> tuple[Column, Column, Co
     n = F.count(F.lit(1)).over(past)
     total = F.coalesce(F.sum(x).over(past), F.lit(0)).cast("long")
     squares = F.coalesce(F.sum(x * x).over(past), F.lit(0)).cast("long")
-    mean = total / n
-    std = F.sqrt((n * squares - total * total) / (n * n))
+    mean = F.try_divide(total.cast("double"), n)
+    std = F.sqrt(F.try_divide((n * squares - total * total).cast("double"), n * n))
     return n, mean, std
 
 
@@ -94,17 +94,20 @@ def trajectory(bursts: DataFrame, window: int = 4, min_rows: int = 5, threshold:
         }
     )
     rows = rows.where((F.col("_n") >= min_rows) & (F.col("_rn") >= window))
-    middle = (window - 1) / 2
-    spread = sum((i - middle) ** 2 for i in range(window))
-    slope = sum(((i - middle) * F.element_at("_w", i + 1) for i in range(window)), F.lit(0.0)) / spread
-    mean = sum((F.element_at("_w", i + 1) for i in range(window)), F.lit(0.0)) / window
+    # Scores carry three decimals; whole thousandths keep sums free of rounding noise.
+    parts = [F.round(F.element_at("_w", i + 1) * 1000).cast("long") for i in range(window)]
+    spread = sum((2 * i - (window - 1)) ** 2 for i in range(window)) // 2
+    tilt = sum(((2 * i - (window - 1)) * part for i, part in enumerate(parts)), F.lit(0))
+    slope = tilt / F.lit(1000 * spread)
+    mean = sum(parts, F.lit(0)) / F.lit(1000 * window)
     peak = F.array_max("_w")
     return rows.select(
         *TOPIC_WEEK,
         F.bround(peak, 3).alias("peak_burst"),
         F.bround(slope, 3).alias("trend_slope"),
         F.size(F.filter("_w", lambda s: s > threshold)).cast("long").alias("consistent_weeks"),
-        F.bround(peak / (mean + 0.01), 3).alias("spike_ratio"),
+        # NULL where the mean is exactly -0.01 and the ratio has no value.
+        F.bround(F.try_divide(peak, mean + 0.01), 3).alias("spike_ratio"),
     )
 
 
@@ -154,7 +157,7 @@ def add_history(timeline: DataFrame, numerator: str = "active", window: int = 2)
     active = active.withColumns(
         {"_hits": hits, "_rows": past_rows, "_hits8": hits8, "_rows8": rows8}
     )
-    rate = lambda num, den: F.when(F.col(den) == 0, F.lit(0.0)).otherwise(F.bround(F.col(num) / F.col(den), 4))
+    rate = lambda num, den: F.when(F.col(den) == 0, F.lit(0.0)).otherwise(F.bround(F.try_divide(F.col(num).cast("double"), F.col(den)), 4))
     since = F.coalesce(F.col("week_no") - F.col("_last_nl"), F.lit(NEVER))
     return active.withColumns(
         {
