@@ -5,7 +5,7 @@ from importlib import import_module
 
 from weeksignal.session import ship_package
 
-_MODULES = ["feature_queries", "eda_queries"]
+_MODULES = ["feature_queries", "eda_queries", "evaluation_queries"]
 
 
 def _registries():

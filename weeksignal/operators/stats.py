@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -209,18 +209,26 @@ def with_correlation_p(tests: DataFrame) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(feature_a, feature_b, r) for every ordered pair, from one pass over the rows."""
-    pairs = list(combinations(range(len(columns)), 2))
+    """(feature_a, feature_b, r) for every ordered pair; NULL for a constant column.
+
+    One pass for the means, one for all centred products; both are plain sums that
+    merge map-side.
+    """
     wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    row = wide.agg(*[F.corr(columns[i], columns[j]).alias(f"r_{i}_{j}") for i, j in pairs])
+    means = wide.agg(F.struct(*[F.avg(c).alias(c) for c in columns])).scalar()
+    centred = wide.withColumn("_m", means)
+    centred = centred.select(*[(F.col(c) - F.col("_m").getField(c)).alias(c) for c in columns])
+    pairs = list(combinations_with_replacement(range(len(columns)), 2))
+    sums = centred.agg(*[F.sum(F.col(columns[i]) * F.col(columns[j])).alias(f"s_{i}_{j}") for i, j in pairs])
     entries = []
     for i, j in pairs:
-        value = F.when(~F.isnan(F.col(f"r_{i}_{j}")), F.col(f"r_{i}_{j}"))
-        for a, b in ((i, j), (j, i)):
-            entries.append(F.struct(F.lit(columns[a]).alias("feature_a"), F.lit(columns[b]).alias("feature_b"), value.alias("r")))
-    for c in columns:
-        entries.append(F.struct(F.lit(c).alias("feature_a"), F.lit(c).alias("feature_b"), F.lit(1.0).alias("r")))
-    return row.select(F.inline(F.array(*entries)))
+        scale = F.sqrt(F.col(f"s_{i}_{i}") * F.col(f"s_{j}_{j}"))
+        r = F.lit(1.0) if i == j else F.when(scale > 0, F.col(f"s_{i}_{j}") / scale)
+        for a, b in {(i, j), (j, i)}:
+            entries.append(
+                F.struct(F.lit(columns[a]).alias("feature_a"), F.lit(columns[b]).alias("feature_b"), r.alias("r"))
+            )
+    return sums.select(F.inline(F.array(*entries)))
 
 
 def label_correlations(df: DataFrame, columns: list[str], label: str = LABEL) -> DataFrame:
