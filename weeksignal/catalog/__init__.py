@@ -5,7 +5,10 @@ from importlib import import_module
 
 from weeksignal.session import ship_package
 
-_MODULES = ["feature_queries", "eda_queries", "evaluation_queries"]
+_MODULES = [
+    "feature_queries", "eda_queries", "evaluation_queries", "text_queries", "source_queries",
+    "linking_queries", "model_queries", "streaming_queries",
+]
 
 
 def _registries():

@@ -129,15 +129,22 @@ def tokens(text, stop_words=()) -> Column:
 
 
 def ngrams(words, low: int = 1, high: int = 3) -> Column:
-    """All runs of ``low`` to ``high`` neighbouring tokens, as phrases."""
+    """All runs of ``low`` to ``high`` neighbouring tokens, as phrases.
+
+    Each length is the previous one zipped with the words shifted by one more place,
+    so the work is linear in the text. Pass a column that holds the words, not the
+    expression that cuts them, or they are cut again for every length.
+    """
     words = _col(words)
-    grams = []
-    for n in range(low, high + 1):
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
-        grams.append(
-            F.coalesce(
-                F.transform(starts, lambda i, n=n: F.concat_ws(" ", F.slice(words, i, F.lit(n)))),
-                F.array().cast("array<string>"),
+    grams, current = [], words
+    for n in range(1, high + 1):
+        if n > 1:
+            count = F.greatest(F.size(words) - (n - 1), F.lit(0))
+            current = F.zip_with(
+                F.slice(current, F.lit(1), count),
+                F.slice(words, F.lit(n), count),
+                lambda a, b: F.concat_ws(" ", a, b),
             )
-        )
+        if n >= low:
+            grams.append(current)
     return F.concat(*grams)

@@ -23,7 +23,12 @@ def scan_typed_csv(spark: SparkSession, path, schema: T.StructType) -> DataFrame
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     writer = df.write.mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        writer = (
+            writer.option("header", True)
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+        )
     writer.format(fmt).save(path)
 
 
