@@ -14,7 +14,7 @@ reg = Registry()
 
 def landed_events(spark, d):
     """Every event twice, in files of a fresh landing folder."""
-    events = adapters.table(spark, d, "events")
+    events = adapters.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     path = scratch_path(spark, "landed")
     events.unionByName(events).write.parquet(path)
     return jobs.read_landed(spark, path, events.schema, max_files=4)

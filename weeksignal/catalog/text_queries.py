@@ -246,10 +246,10 @@ _STOP_SQL = "[" + ", ".join(f"'{w}'" for w in STOP) + "]"
   g AS (SELECT doc_id, unnest(w) AS c FROM t
         UNION SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM t
         UNION SELECT doc_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM t)
-  SELECT doc_id, count(*) AS candidates, min(c) AS first, max(c) AS last, sum(length(c))::BIGINT AS chars FROM g GROUP BY 1""")
+  SELECT d.doc_id, count(c) AS candidates, min(c) AS first, max(c) AS last, coalesce(sum(length(c)), 0)::BIGINT AS chars FROM documents d LEFT JOIN g USING (doc_id) GROUP BY 1""")
 def _candidates(spark, d):
     docs = adapters.table(spark, d, "documents")
-    c = keyphrases.candidate_phrases(docs, "text", STOP, out="c").where(F.size("c") > 0)
+    c = keyphrases.candidate_phrases(docs, "text", STOP, out="c")
     chars = F.aggregate(F.transform("c", lambda x: F.char_length(x).cast("long")), F.lit(0).cast("long"), lambda a, x: a + x)
     return c.select(
         "doc_id", F.size("c").cast("long").alias("candidates"), F.array_min("c").alias("first"),

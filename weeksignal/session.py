@@ -76,3 +76,18 @@ def cut_lineage(df, name: str):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df):
+    """Give compute-heavy steps enough tasks when the input is small.
+
+    A table of a few files may arrive in one task. Where the estimated size already
+    yields two tasks per core, as for any large table, nothing is shuffled.
+    """
+    spark = df.sparkSession
+    wanted = 2 * spark.sparkContext.defaultParallelism
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    return df.repartition(wanted) if int(str(size)) < wanted * split else df
