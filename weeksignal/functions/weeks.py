@@ -27,7 +27,9 @@ def parse_day(c) -> Column:
 def week_of_date(d) -> Column:
     """``YYYY-Www`` of a date column, with the ISO year."""
     d = _col(d)
-    return F.format_string("%04d-W%02d", F.extract(F.lit("YEAROFWEEK"), d), F.weekofyear(d))
+    year = F.lpad(F.extract(F.lit("YEAROFWEEK"), d).cast("string"), 4, "0")
+    week = F.lpad(F.weekofyear(d).cast("string"), 2, "0")
+    return F.concat(year, F.lit("-W"), week)
 
 
 def iso_week(c) -> Column:

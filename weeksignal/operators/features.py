@@ -18,12 +18,12 @@ LOOKBACK = 8
 MIN_ACTIVE_WEEKS = 4
 
 
-def _baseline(keys: list[str], rows: int = LOOKBACK) -> tuple[Column, Column, Column]:
+def _baseline(keys: list[str], order: str, rows: int = LOOKBACK) -> tuple[Column, Column, Column]:
     """(count, mean, population std) of the mentions in the preceding rows.
 
     Built from integer sums, so the result does not depend on summation order.
     """
-    past = Window.partitionBy(*keys).orderBy("week").rowsBetween(-rows, -1)
+    past = Window.partitionBy(*keys).orderBy(order).rowsBetween(-rows, -1)
     x = F.col("mentions").cast("long")
     n = F.count(F.lit(1)).over(past)
     total = F.coalesce(F.sum(x).over(past), F.lit(0)).cast("long")
@@ -33,8 +33,8 @@ def _baseline(keys: list[str], rows: int = LOOKBACK) -> tuple[Column, Column, Co
     return n, mean, std
 
 
-def _burst_columns(df: DataFrame, keys: list[str]) -> DataFrame:
-    n, mean, std = _baseline(keys)
+def _burst_columns(df: DataFrame, keys: list[str], order: str = "week") -> DataFrame:
+    n, mean, std = _baseline(keys, order)
     df = df.withColumns({"_past": n, "_mean": mean, "_std": std})
     known = F.col("_past") >= 2
     return df.withColumns(
@@ -202,7 +202,7 @@ def topic_week_features(
     """Burst, history and label in one pass over one partitioning by topic."""
     active = add_history(topic_timeline(signals_weekly, newsletters_weekly), numerator)
     by_topic = Window.partitionBy("canonical_topic")
-    scored = _burst_columns(active, ["canonical_topic"])
+    scored = _burst_columns(active, ["canonical_topic"], "week_no")
     scored = scored.withColumn("_weeks", F.count(F.lit(1)).over(by_topic))
     scored = scored.where(F.col("_weeks") >= MIN_ACTIVE_WEEKS)
     std = [F.bround("_std", 2).alias("rolling_std")] if with_std else []

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from weeksignal.functions.text import concat_text
 
 
-def scan_typed_csv(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
+def scan_typed_csv(spark: SparkSession, path, schema: T.StructType | str) -> DataFrame:
     """CSV with a header and quoted line breaks; types are given, never inferred."""
     return (
         spark.read.schema(schema)

@@ -12,12 +12,12 @@ from weeksignal import schemas
 from weeksignal.functions.weeks import epoch_to_date, iso_week
 
 
-def read_responses(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
+def read_responses(spark: SparkSession, path, schema: T.StructType | str) -> DataFrame:
     """JSON files, one response per line."""
     return spark.read.schema(schema).json(path)
 
 
-def parse_responses(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
+def parse_responses(df: DataFrame, column: str, schema: T.StructType | str) -> DataFrame:
     """JSON responses held in a text column."""
     return df.select(F.from_json(column, schema).alias("r")).select("r.*")
 
