@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weeksignal.operators import evaluate
 from weeksignal.operators.stats import LABEL
-from weeksignal.session import cut_lineage
+from weeksignal.session import cut_lineage, spread
 
 FEATURES = [
     "burst_score", "mentions", "topic_nl_rate_8wk", "topic_nl_rate_alltime",
@@ -57,7 +57,7 @@ def prepare(matrix: DataFrame, features: list[str] | None = None) -> Prepared:
         "canonical_topic", "week", "split", LABEL, "weight", "features", "scaled",
         "burst_score", "is_novel_topic", "weeks_since_last_nl",
     )
-    return Prepared(cut_lineage(rows, "prepared"), features)
+    return Prepared(cut_lineage(spread(rows), "prepared"), features)
 
 
 def _common(features: str) -> dict:
@@ -86,7 +86,9 @@ def fit_logistic(train: DataFrame, c: float, l1: bool = False):
 
 def fit_forest(train: DataFrame, trees: int, depth: int):
     forest = RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, seed=SEED, featureSubsetStrategy="sqrt", maxBins=64, **_common("features")
+        numTrees=trees, maxDepth=depth, seed=SEED, featureSubsetStrategy="sqrt", maxBins=64,
+        maxMemoryInMB=1024,  # more tree nodes per pass over the rows
+        **_common("features"),
     )
     return forest.fit(train)
 
