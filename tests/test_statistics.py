@@ -98,3 +98,10 @@ def test_sweep_counts_rows_at_the_threshold(spark):
     assert len(got) == 28
     assert (got[-1.0].n, got[-0.75].n, got[0.5].n, got[0.75].n, got[5.75].n) == (4, 3, 2, 1, 1)
     assert got[0.5].precision == 0.5 and got[-0.75].coverage == 0.75
+
+
+def test_constant_columns_have_no_correlation(spark):
+    df = spark.createDataFrame([("g", 1.0, 0), ("g", 1.0, 1), ("h", 1.0, 0), ("h", 2.0, 1)], "k string, v double, label_next2wk int")
+    got = {r.k: r.r for r in stats.point_biserial(df, ["v"], keys=["k"]).collect()}
+    assert got["g"] is None and got["h"] == pytest.approx(1.0)
+    assert stats.label_correlations(df.where("k = 'g'"), ["v"]).first().r is None

@@ -195,13 +195,19 @@ def with_normal_p(tests: DataFrame, alternative: str = "two-sided") -> DataFrame
     return tests.withColumn("p", p)
 
 
+def pearson(x: Column, y: Column) -> Column:
+    """Pearson r over rows where both values are known; NULL when either is constant."""
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def point_biserial(df: DataFrame, columns: list[str], label: str = LABEL, keys: list[str] = ()) -> DataFrame:
     """Pearson r of each feature with the label; NULL when either is constant."""
     keys = list(keys)
     long = distribution.unpivot(df, columns, [*keys, label])
-    r = F.corr("value", F.col(label).cast("double"))
-    sums = long.groupBy(*keys, "feature").agg(r.alias("r"), F.count("value").alias("n"))
-    return sums.withColumn("r", F.when(~F.isnan("r"), F.col("r")))
+    r = pearson(F.col("value"), F.col(label))
+    return long.groupBy(*keys, "feature").agg(r.alias("r"), F.count("value").alias("n"))
 
 
 def with_correlation_p(tests: DataFrame) -> DataFrame:
@@ -233,9 +239,8 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def label_correlations(df: DataFrame, columns: list[str], label: str = LABEL) -> DataFrame:
     """Correlation of each feature with the label, strongest positive first."""
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(label).cast("double")).alias(c) for c in columns])
+    wide = df.agg(*[pearson(F.col(c), F.col(label)).alias(c) for c in columns])
     long = wide.unpivot([], columns, "feature", "r")
-    long = long.withColumn("r", F.when(~F.isnan("r"), F.col("r")))
     return long.orderBy(F.col("r").desc_nulls_last(), "feature")
 
 
