@@ -2,6 +2,54 @@
 
 from __future__ import annotations
 
+OP2 = r"""
+WITH c AS (
+  SELECT page_id, url, DATE '2024-01-01' + (page_id * 7 % 365)::INT AS day, DATE '2024-01-01' + (page_id * 13 % 365)::INT AS published,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)) AS host,
+         list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^?#]*)', 1), '/'), lambda s: s <> '')[1] AS seg
+  FROM pages),
+e AS (
+  SELECT 'list' || page_id % 3 AS list, page_id AS o, published AS day, CASE WHEN page_id % 5 < 2 THEN 'add' ELSE 'remove' END AS action,
+         CASE page_id % 4 WHEN 0 THEN host WHEN 1 THEN concat_ws('/', host, seg)
+                          ELSE concat_ws('/', regexp_replace(host, '^[^.]*\.', ''), seg) END AS pattern
+  FROM c WHERE host <> ''),
+last AS (SELECT list, pattern, day, arg_max(action, o) AS action FROM e GROUP BY 1, 2, 3),
+spans AS (SELECT *, lead(day) OVER (PARTITION BY list, pattern ORDER BY day) AS until FROM last),
+labels AS (SELECT page_id, day, seg, string_split(host, '.') AS l FROM c WHERE host <> ''),
+hosts AS (SELECT page_id, day, seg, array_to_string(l[k:], '.') AS h FROM (SELECT *, unnest(range(1, len(l) + 1)) AS k FROM labels)),
+keys AS (SELECT page_id, day, h AS pattern FROM hosts UNION SELECT page_id, day, h || '/' || seg FROM hosts WHERE seg IS NOT NULL),
+met AS (
+  SELECT k.page_id, count(*) AS n, string_agg(DISTINCT s.list, ',' ORDER BY s.list) AS lists
+  FROM keys k JOIN spans s ON k.pattern = s.pattern AND s.action = 'add' AND s.day <= k.day AND (s.until IS NULL OR k.day < s.until)
+  GROUP BY 1)
+SELECT page_id, strftime(day, '%Y-%m-%d') AS day, coalesce(n, 0)::BIGINT AS n_active, coalesce(lists, '') AS lists,
+       coalesce(n, 0) > 0 AS listed
+FROM c LEFT JOIN met USING (page_id)"""
+
+OP3 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (
+  SELECT *, length(replace(replace(role, '\', '\\'), '<|', '<\|')) + length(replace(replace(text, '\', '\\'), '<|', '<\|')) AS n
+  FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (sum(n + 26) + 13)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+#: For the shape of the given pages: one article of headings and paragraphs.
+OP6 = r"""
+WITH a AS (SELECT page_id, url, unnest(regexp_split_to_array(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?(?:p|h1)>')) AS b,
+                  generate_subscripts(regexp_split_to_array(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '</?(?:p|h1)>'), 1) AS k
+           FROM pages),
+t AS (
+  SELECT page_id, k, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(b, '<[^>]*>', ' ', 'g'),
+         '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '[\s]+', ' ', 'g')) AS x FROM a),
+p AS (SELECT page_id, string_agg(x, chr(10) || chr(10) ORDER BY k) AS text FROM t WHERE x <> '' GROUP BY 1)
+SELECT page_id, url, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n_chars FROM pages LEFT JOIN p USING (page_id)"""
+
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 OP5 = rf"""
@@ -49,7 +97,29 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit,
        coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
+_LOWER_WORDS = rf"list_filter(regexp_split_to_array({_FOLDED}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+OP8 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_LOWER_WORDS} AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 1], ' ') || CASE WHEN len(w) = 1 THEN '' ELSE ' ' END AS x
+  FROM (SELECT *, unnest(range(1, greatest(len(w), 2))) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY 1),
+common AS (
+  SELECT s.doc_id AS a, t.doc_id AS b, count(*) AS k FROM sets s JOIN sets t ON s.x = t.x AND s.doc_id < t.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes p ON a = p.doc_id JOIN sizes q ON b = q.doc_id WHERE 100 * k >= 80 * (p.n + q.n - k)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, c) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT e.b, r.c FROM reached r JOIN edges e ON e.a = r.doc_id)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(c) AS component_id, doc_id = min(c) AS kept
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
+
 SQL = {
+    "op2_url_filters": OP2,
+    "op3_chat_formatting": OP3,
+    "op6_html_extraction": OP6,
     "op5_quality_rules": OP5,
+    "op8_minhash_near_dedup": OP8,
     "op10_benchmark_decontamination": OP10,
 }
