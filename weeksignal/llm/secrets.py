@@ -308,7 +308,7 @@ def redact(docs: DataFrame, text: str = "text", length: str | None = "n_chars")
     rows = docs.select(row.alias("row"), F.arrow_udf(_redact, "string")(docs[f"`{text}`"]).alias("clean"))
     out = F.col("row").withField(f"`{text}`", F.col("clean"))
     if length in docs.columns:
-        counted = F.when(F.col("clean") == F.col("row")[text], F.col("row")[length]).otherwise(
+        counted = F.when(F.col("clean").eqNullSafe(F.col("row")[text]), F.col("row")[length]).otherwise(
             F.length("clean").cast(docs.schema[length].dataType)
         )
         out = out.withField(f"`{length}`", counted)
