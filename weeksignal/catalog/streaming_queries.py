@@ -12,19 +12,20 @@ from weeksignal.streaming import jobs
 reg = Registry()
 
 
-def landed_events(spark, d):
-    """Every event twice, in files of a fresh landing folder."""
+def landed_events(spark, d, files: int = 24, max_files: int = 12):
+    """Every event twice, in files of a fresh landing folder: first the newest, then in mixed order."""
     events = adapters.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     path = scratch_path(spark, "landed")
-    events.unionByName(events).write.parquet(path)
-    return jobs.read_landed(spark, path, events.schema, max_files=4)
+    events.repartitionByRange(files, F.col("ts").desc()).write.parquet(path)
+    events.repartition(files, F.xxhash64("event_id")).write.mode("append").parquet(path)
+    return jobs.read_landed(spark, path, events.schema, max_files=max_files)
 
 
 @reg.add("incremental_ingest", "SELECT event_id, event_type, user_id, value FROM events")
 def _ingest(spark, d):
     stream = landed_events(spark, d)
     target, checkpoint = scratch_path(spark, "ingested"), scratch_path(spark, "ingest-state")
-    jobs.incremental_ingest(stream, target, checkpoint, "event_id", lateness="60 days")
+    jobs.incremental_ingest(stream, target, checkpoint, "event_id")
     return spark.read.schema(stream.schema).parquet(target).select("event_id", "event_type", "user_id", "value")
 
 

@@ -1,7 +1,15 @@
-"""Incremental jobs: deduplicated ingest and running weekly mentions."""
+"""Incremental jobs: deduplicated ingest and running weekly mentions.
+
+Both keep no state in the stream and know no watermark: what a batch adds is written to a
+folder of its own, which a repeated batch overwrites. So no row is lost, whatever the order
+and the number of files, and rows of any age count.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from weeksignal.functions.weeks import week_of_date
@@ -12,56 +20,60 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).format(fmt).load(path)
 
 
-def incremental_ingest(
-    stream: DataFrame, target: str, checkpoint: str, key: str, event_time: str = "ts", lateness: str = "14 days"
-) -> None:
-    """Append records that were not seen before and stop when the input is drained.
-
-    Copies are recognised within the lateness of each record, so the state stays
-    bounded; the checkpoint makes the file sink exactly-once across restarts.
-    """
-    fresh = stream.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark([key])
+def _drain(stream: DataFrame, checkpoint: str, save: Callable[[DataFrame, int], None]) -> None:
+    """Run all batches that the input holds."""
     query = (
-        fresh.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
+        stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
 
 
-def weekly_windows(stream: DataFrame, topic: str, event_time: str = "ts", lateness: str = "14 days") -> DataFrame:
-    """Mentions per topic and ISO week.
+def _stored(spark: SparkSession, target: str, schema: T.StructType, batch_id: int) -> DataFrame | None:
+    """What the batches before this one have written."""
+    whole = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    try:
+        return spark.read.schema(whole).parquet(target).where(F.col("batch") < batch_id)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
-    Weeks start on Mondays; windows count from a Thursday, hence the four-day offset.
+
+def incremental_ingest(stream: DataFrame, target: str, checkpoint: str, key: str) -> None:
+    """Append records whose key was not seen before, in any earlier batch, and stop when the input is drained.
+
+    A record is never dropped for its age. The stored keys that a batch repeats are found first,
+    so of all stored records only the key column is read, and what is compared with the batch is
+    no larger than the batch. A null key is no key: such records are all kept.
     """
-    week = F.window(event_time, "7 days", "7 days", "4 days")
-    counted = stream.withWatermark(event_time, lateness).groupBy(F.col(topic).alias("canonical_topic"), week)
-    return counted.agg(F.count(F.lit(1)).alias("mentions")).select(
-        "canonical_topic", week_of_date(F.col("window.start").cast("date")).alias("week"), "mentions"
-    )
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        named = batch.where(F.col(key).isNotNull()).dropDuplicates([key])
+        stored = _stored(batch.sparkSession, target, batch.schema, batch_id)
+        if stored is not None:
+            seen = stored.select(key).join(named.select(key), key, "left_semi").distinct()
+            named = named.join(seen, key, "left_anti").select(*batch.columns)
+        fresh = named.unionByName(batch.where(F.col(key).isNull()))
+        fresh.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    _drain(stream, checkpoint, save)
+
+
+def weekly_counts(events: DataFrame, topic: str, event_time: str = "ts") -> DataFrame:
+    """Mentions per topic and ISO week."""
+    week = week_of_date(F.col(event_time).cast("date"))
+    return events.groupBy(F.col(topic).alias("canonical_topic"), week.alias("week")).agg(F.count(F.lit(1)).alias("mentions"))
 
 
 def streaming_weekly_mentions(stream: DataFrame, target: str, checkpoint: str, topic: str, event_time: str = "ts") -> None:
-    """Write the counts that changed in each batch; a repeated batch replaces its own output."""
+    """Write each batch's own counts; counts are additive, so no batch needs another one."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        weekly_counts(batch, topic, event_time).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    query = (
-        weekly_windows(stream, topic, event_time)
-        .writeStream.outputMode("update")
-        .foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    _drain(stream, checkpoint, save)
 
 
 def current_weekly_mentions(spark: SparkSession, target: str) -> DataFrame:
-    """The latest count of every topic and week."""
-    updates = spark.read.parquet(target)
-    return updates.groupBy("canonical_topic", "week").agg(F.max_by("mentions", "batch").alias("mentions"))
+    """The mentions of every topic and week over all batches so far."""
+    return spark.read.parquet(target).groupBy("canonical_topic", "week").agg(F.sum("mentions").cast("long").alias("mentions"))
