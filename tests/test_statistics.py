@@ -16,13 +16,25 @@ def numbers(spark):
 
 @pytest.mark.parametrize("descending", [False, True])
 @pytest.mark.parametrize("keys", [[], ["k"]])
-def test_ranged_totals_equal_one_task_totals(numbers, keys, descending):
-    _, df = numbers
-    counts = distribution.value_counts(df, "v", keys)
-    plain = distribution.running_totals(counts, "v", ["n"], keys, descending)
-    ranged = distribution.running_totals(counts, "v", ["n"], keys, descending, ranges=7, one_task_rows=0)
-    columns = [*keys, "v", "n", "cum_n"]
-    assert sorted(map(tuple, plain.select(columns).collect())) == sorted(map(tuple, ranged.select(columns).collect()))
+@pytest.mark.parametrize("ranges", [2, 7, 200])
+def test_ranged_totals_equal_plain_totals(spark, numbers, keys, descending, ranges):
+    rows, df = numbers
+    rows = rows + [(None, v, y) for _, v, y in rows[:90]] + [("a", None, 1), ("b", float("nan"), 0), (None, None, 0)]
+    df = spark.createDataFrame(rows, df.schema)
+    found = distribution.running_totals(distribution.value_counts(df, "v", keys), "v", ["n"], keys, descending, ranges)
+    want = {}
+    for k, v, _ in rows:
+        if v is not None and v == v:
+            key = k if keys else 0
+            want.setdefault(key, {}).setdefault(v, 0)
+            want[key][v] += 1
+    expected = set()
+    for key, counts in want.items():
+        total = 0
+        for v in sorted(counts, reverse=descending):
+            total += counts[v]
+            expected.add((key, v, counts[v], total))
+    assert {(r["k"] if keys else 0, r["v"], r["n"], r["cum_n"]) for r in found.collect()} == expected
 
 
 def test_quantiles_match_numpy(numbers):

@@ -111,7 +111,8 @@ def _running(spark, d):
 
 
 @reg.add("roc_curve", f"""{SCORED}, {_CURVE} SELECT score AS threshold, cp::BIGINT AS cum_pos, (cn - cp)::BIGINT AS cum_neg,
-  round((cn - cp) / (SELECT count(*) - sum(label_next2wk) FROM te), 9) AS fpr, round(cp / (SELECT sum(label_next2wk) FROM te), 9) AS tpr FROM cu""")
+  round((cn - cp) / (SELECT count(*) - sum(label_next2wk) FROM te), 9) AS fpr, round(cp / (SELECT sum(label_next2wk) FROM te), 9) AS tpr, 0::BIGINT AS unscored FROM cu
+  UNION ALL SELECT 'inf'::DOUBLE, 0, 0, 0.0, 0.0, 0""")
 def _roc(spark, d):
     return rounded(evaluate.roc_curve(test_rows(spark, d)), 9, "fpr", "tpr")
 

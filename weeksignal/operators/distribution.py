@@ -2,18 +2,16 @@
 
 Everything here starts from one row per distinct value. ``running_totals`` then
 splits the value axis into ranges, sums inside each range with a partitioned
-window and adds the total of the ranges before it.
+window and adds the total of the ranges before it. There is one plan for all sizes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from functools import reduce
 
-from weeksignal.session import cut_lineage
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 RANGES = 200
-# Distinct values that one task may sort: a few numbers each, so below 200 MB.
-ONE_TASK_ROWS = 4_000_000
 
 
 def value_counts(df: DataFrame, value: str, keys: list[str] = (), weights: dict[str, Column] | None = None) -> DataFrame:
@@ -25,47 +23,35 @@ def value_counts(df: DataFrame, value: str, keys: list[str] = (), weights: dict[
     return clean.groupBy(*keys, value).agg(*aggs)
 
 
-def _range_bounds(counts: DataFrame, value: str, ranges: int) -> list[float]:
-    """Boundaries from the ``ranges`` distinct values with the smallest hashes.
-
-    A fixed number of values reaches the driver, and the draw depends on the values
-    alone, not on the order in which partitions arrive.
-    """
-    v = F.col(value).cast("double")
-    drawn = counts.select(v.alias("v")).orderBy(F.xxhash64("v"), "v").limit(ranges).collect()
-    return sorted({row.v for row in drawn})
+def join_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys that may be NULL."""
+    named = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return left.join(named, same, "left").drop(*[f"_key_{k}" for k in keys])
 
 
 def running_totals(
-    counts: DataFrame,
-    value: str,
-    sums: list[str],
-    keys: list[str] = (),
-    descending: bool = False,
-    ranges: int = RANGES,
-    one_task_rows: int = ONE_TASK_ROWS,
+    counts: DataFrame, value: str, sums: list[str], keys: list[str] = (), descending: bool = False, ranges: int = RANGES
 ) -> DataFrame:
     """Add ``cum_<s>``, the total of ``s`` up to and including each distinct value.
 
-    ``counts`` holds one row per (keys, value). It is written out first, since it is
-    read several times and its size decides the plan: a table small enough for one
-    task takes a plain window, a larger one is cut into value ranges.
+    ``counts`` holds one row per (keys, value). The value axis of each key is cut at its own
+    approximate quantiles, which only steer the work: a window sums inside each range, and the
+    totals of the ranges before it are added. Keys may be NULL.
     """
     keys = list(keys)
-    counts = cut_lineage(counts, "counts")
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    if counts.count() <= one_task_rows:
-        whole = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(order)
-        whole = whole.rowsBetween(Window.unboundedPreceding, 0)
-        return counts.withColumns({f"cum_{s}": F.sum(s).over(whole) for s in sums})
-
-    bounds = F.array(*[F.lit(b) for b in _range_bounds(counts, value, ranges)])
     v = F.col(value).cast("double")
-    split = counts.withColumn("_range", F.size(F.filter(bounds, lambda b: b <= v)))
-    inside = Window.partitionBy(*keys, "_range").orderBy(order)
-    inside = inside.rowsBetween(Window.unboundedPreceding, 0)
+    cuts = F.percentile_approx(v, F.array(*[F.lit(k / ranges) for k in range(1, ranges)]), F.lit(ranges * 10))
+    bounds = counts.groupBy(*keys).agg(F.array_distinct(cuts).alias("_bounds"))
+    if keys:
+        split = join_on(counts, bounds, keys)
+    else:
+        split = counts.withColumn("_bounds", bounds.select("_bounds").scalar())
+    split = split.withColumn("_range", F.size(F.filter("_bounds", lambda b: b <= v))).drop("_bounds")
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    inside = Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
 
-    # At most ranges + 1 rows per key.
+    # At most ``ranges`` rows per key.
     totals = split.groupBy(*keys, "_range").agg(*[F.sum(s).alias(f"_tot_{s}") for s in sums])
     range_order = F.col("_range").desc() if descending else F.col("_range").asc()
     before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(range_order)
@@ -76,7 +62,7 @@ def running_totals(
         *[F.coalesce(F.sum(f"_tot_{s}").over(before), F.lit(0)).alias(f"_off_{s}") for s in sums],
     )
     summed = split.withColumns({f"cum_{s}": F.sum(s).over(inside) for s in sums})
-    joined = summed.join(offsets, [*keys, "_range"])
+    joined = join_on(summed, offsets, [*keys, "_range"])
     joined = joined.withColumns({f"cum_{s}": F.col(f"cum_{s}") + F.col(f"_off_{s}") for s in sums})
     return joined.drop("_range", *[f"_off_{s}" for s in sums])
 
@@ -94,10 +80,11 @@ def quantiles(
     statistic closest to ``(n - 1) * p`` (a tie goes up).
     """
     keys = list(keys)
-    cum = running_totals(value_counts(df, value, keys), value, ["n"], keys)
-    sizes = cum.groupBy(*keys).agg(F.sum("n").alias("_total"))
+    counts = value_counts(df, value, keys)
+    cum = running_totals(counts, value, ["n"], keys)
+    sizes = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
     if keys:
-        cum = cum.join(sizes, keys)
+        cum = join_on(cum, sizes, keys)
         total = F.col("_total")
     else:
         cum = cum.withColumn("_total", sizes.select("_total").scalar())

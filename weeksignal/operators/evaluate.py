@@ -174,25 +174,33 @@ def score_curve(df: DataFrame, keys: list[str] = (), label: str = LABEL, score:
 
 
 def roc_curve(df: DataFrame, keys: list[str] = (), label: str = LABEL, score: str = "score") -> DataFrame:
-    """One point per distinct score; the start point (0, 0) is left to the caller."""
+    """The start point (0, 0) with an infinite threshold, then one point per distinct score.
+
+    Rows whose score is NULL or NaN take no part, neither in the points nor in the totals;
+    ``unscored`` counts them.
+    """
     keys = list(keys)
     curve = score_curve(df, keys, label, score)
+    valid = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
     sizes = df.groupBy(*keys).agg(
-        F.sum(F.col(label).cast("long")).alias("_p"), F.count(F.lit(1)).alias("_all")
+        F.coalesce(F.sum(F.when(valid, F.col(label).cast("long"))), F.lit(0)).alias("_p"),
+        F.count(F.when(valid, F.lit(1))).alias("_all"),
+        F.count(F.when(~valid, F.lit(1))).alias("unscored"),
+    )
+    points = curve.select(*keys, F.col(score).cast("double").alias("threshold"), "cum_pos", (F.col("cum_n") - F.col("cum_pos")).alias("cum_neg"))
+    zero = F.lit(0).cast("long")
+    points = points.unionByName(
+        sizes.select(*keys, F.lit(float("inf")).alias("threshold"), zero.alias("cum_pos"), zero.alias("cum_neg"))
     )
     if keys:
-        curve = curve.join(sizes, keys)
-        p, n = F.col("_p"), F.col("_all")
+        points = distribution.join_on(points, sizes, keys)
+        p, n, unscored = F.col("_p"), F.col("_all"), F.col("unscored")
     else:
-        one = sizes.select(F.struct("_p", "_all")).scalar()
-        p, n = one.getField("_p"), one.getField("_all")
-    return curve.select(
-        *keys,
-        F.col(score).alias("threshold"),
-        "cum_pos",
-        (F.col("cum_n") - F.col("cum_pos")).alias("cum_neg"),
-        safe_ratio(F.col("cum_n") - F.col("cum_pos"), n - p).alias("fpr"),
-        safe_ratio("cum_pos", p).alias("tpr"),
+        one = sizes.select(F.struct("_p", "_all", "unscored")).scalar()
+        p, n, unscored = (one.getField(f) for f in ("_p", "_all", "unscored"))
+    return points.select(
+        *keys, "threshold", "cum_pos", "cum_neg", safe_ratio(F.col("cum_neg"), n - p).alias("fpr"), safe_ratio("cum_pos", p).alias("tpr"),
+        unscored.alias("unscored"),
     )
 
 
