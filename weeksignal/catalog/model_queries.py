@@ -16,45 +16,56 @@ def prepared(spark, d):
     return models.prepare(capped)
 
 
-def three_models(data):
-    """One tree, one logistic regression and one forest at mid-grid settings."""
-    train = data.part("train").cache()
-    fitted = {
-        "Decision Tree": models.fit_tree(train, 8),
-        "Logistic Regression": models.fit_logistic(train, 0.1),
-        "Random Forest": models.fit_forest(train, 100, 8),
-    }
-    train.unpersist()
-    return fitted
+_TUNED = {}
+
+GRIDS = {
+    "Decision Tree": (models.TREE_DEPTHS, models.fit_tree, 0),
+    "Logistic Regression": (models.REGULARISATION, models.fit_logistic, models.REGULARISATION.index(0.1)),
+    "Random Forest": (models.FOREST_GRID, models.fit_forest, 0),
+}
+
+
+def tuned(spark, d, name):
+    """The best model of a grid, the grid's scores and the prepared rows; searched once per application and folder."""
+    key = (spark.sparkContext.applicationId, d)
+    if (key, "data") not in _TUNED:
+        _TUNED[key, "data"] = prepared(spark, d)
+    if (key, name) not in _TUNED:
+        grid, fit, fallback = GRIDS[name]
+        _TUNED[key, name] = models.tune(_TUNED[key, "data"], grid, fit, fallback)
+    return (*_TUNED[key, name], _TUNED[key, "data"])
 
 
 @reg.add("decision_tree")
 def _tree(spark, d):
-    return models.tune(prepared(spark, d), models.TREE_DEPTHS, models.fit_tree)[1]
+    return tuned(spark, d, "Decision Tree")[1]
 
 
 @reg.add("logistic_regression")
 def _logistic(spark, d):
-    return models.tune(prepared(spark, d), models.REGULARISATION, models.fit_logistic)[1]
+    return tuned(spark, d, "Logistic Regression")[1]
 
 
 @reg.add("random_forest")
 def _forest(spark, d):
-    return models.tune(prepared(spark, d), models.FOREST_GRID, models.fit_forest)[1]
+    return tuned(spark, d, "Random Forest")[1]
 
 
 @reg.add("feature_importance")
 def _importance(spark, d):
-    data = prepared(spark, d)
-    parts = [models.importance_table(spark, m, data.features, name) for name, m in three_models(data).items()]
+    parts = []
+    for name in GRIDS:
+        model, _, data = tuned(spark, d, name)
+        parts.append(models.importance_table(spark, model, data.features, name))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def scored_models(spark, d):
-    data = prepared(spark, d)
-    test, scored = data.part("test"), None
-    for name, model in three_models(data).items():
-        part = models.score(model, test).withColumn("model", F.lit(name))
+    """The test weeks, scored by the best model of each grid."""
+    scored = None
+    for name in GRIDS:
+        model, _, data = tuned(spark, d, name)
+        part = models.score(model, data.part("test")).withColumn("model", F.lit(name))
         scored = part if scored is None else scored.unionByName(part)
     return cut_lineage(scored.drop("features", "scaled"), "scored-models")
 
@@ -67,3 +78,27 @@ def _comparison(spark, d):
 @reg.add("model_rankings")
 def _rankings(spark, d):
     return evaluate.precision_recall_at_k(scored_models(spark, d), keys=["model"])
+
+
+def per_model(spark, d, table):
+    """``table`` of each model's scored test rows, under the model's name."""
+    scored, found = scored_models(spark, d), None
+    for name in GRIDS:
+        part = table(scored.where(F.col("model") == name).drop("model")).select(F.lit(name).alias("model"), "*")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+@reg.add("model_report")
+def _report(spark, d):
+    return per_model(spark, d, evaluate.classification_report)
+
+
+@reg.add("model_lead_time")
+def _lead_time(spark, d):
+    return per_model(spark, d, lambda test: evaluate.lead_time_stats(evaluate.lead_times(test)))
+
+
+@reg.add("model_strata")
+def _strata(spark, d):
+    return per_model(spark, d, evaluate.stratified_eval)

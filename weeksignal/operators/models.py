@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weeksignal.operators import evaluate
 from weeksignal.operators.stats import LABEL
-from weeksignal.session import cut_lineage, spread
+from weeksignal.session import cut_lineage
 
+# Fixed values, as the compared models use them.
 FEATURES = [
     "burst_score", "mentions", "topic_nl_rate_8wk", "topic_nl_rate_alltime",
     "weeks_since_last_nl", "is_novel_topic", "past_nl_count",
@@ -23,6 +24,10 @@ FOREST_GRID = [(n, depth) for n in (100, 200, 300) for depth in (4, 6, 8)]
 # The deepest tree MLlib can store; it stands for "no limit".
 UNLIMITED_DEPTH = 30
 SEED = 42
+# Rows are dealt to so many partitions for every fit, whatever the cluster, since seeded
+# draws go by partition.
+FIT_PARTITIONS = 32
+BINS = 256
 
 
 @dataclass
@@ -57,7 +62,13 @@ def prepare(matrix: DataFrame, features: list[str] | None = None) -> Prepared:
         "canonical_topic", "week", "split", LABEL, "weight", "features", "scaled",
         "burst_score", "is_novel_topic", "weeks_since_last_nl",
     )
-    return Prepared(cut_lineage(spread(rows), "prepared"), features)
+    return Prepared(cut_lineage(rows, "prepared"), features)
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """The same rows in the same partitions and order on every cluster."""
+    keys = ["canonical_topic", "week"]
+    return rows.repartition(FIT_PARTITIONS, *keys).sortWithinPartitions(*keys)
 
 
 def _common(features: str) -> dict:
@@ -66,7 +77,7 @@ def _common(features: str) -> dict:
 
 def fit_tree(train: DataFrame, depth: int | None):
     tree = DecisionTreeClassifier(
-        maxDepth=UNLIMITED_DEPTH if depth is None else depth, impurity="gini", maxBins=256, seed=SEED, **_common("features")
+        maxDepth=UNLIMITED_DEPTH if depth is None else depth, impurity="gini", maxBins=BINS, seed=SEED, **_common("features")
     )
     return tree.fit(train)
 
@@ -86,7 +97,7 @@ def fit_logistic(train: DataFrame, c: float, l1: bool = False):
 
 def fit_forest(train: DataFrame, trees: int, depth: int):
     forest = RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, seed=SEED, featureSubsetStrategy="sqrt", maxBins=64,
+        numTrees=trees, maxDepth=depth, seed=SEED, featureSubsetStrategy="sqrt", maxBins=BINS,
         maxMemoryInMB=1024,  # more tree nodes per pass over the rows
         **_common("features"),
     )
@@ -104,14 +115,14 @@ def score(model, rows: DataFrame) -> DataFrame:
     ).drop("rawPrediction", "probability", "_prediction")
 
 
-def tune(prepared: Prepared, grid: list, fit) -> tuple[object, DataFrame]:
+def tune(prepared: Prepared, grid: list, fit, fallback: int = 0) -> tuple[object, DataFrame]:
     """Fit every grid point on the training weeks, score all on the validation weeks.
 
     Returns the fitted model of the best point and the table of validation scores
     (grid_pos, params, f1, roc_auc). The first best point wins; where every F1 is 0
-    the first point stays.
+    the point ``fallback`` stays.
     """
-    train, val = prepared.part("train").cache(), prepared.part("val").cache()
+    train, val = dealt(prepared.part("train")).cache(), prepared.part("val").cache()
     try:
         fitted, scored = [], None
         for position, params in enumerate(grid):
@@ -130,7 +141,7 @@ def tune(prepared: Prepared, grid: list, fit) -> tuple[object, DataFrame]:
         evaluate.ranking_areas(scored, keys).select(*keys, "roc_auc", "average_precision"), keys
     )
     best = evaluate.grid_select(scored, "grid_pos").first()
-    return fitted[best["grid_pos"] if best else 0], table
+    return fitted[best["grid_pos"] if best else fallback], table
 
 
 def importance_table(spark: SparkSession, model, features: list[str], name: str) -> DataFrame:
