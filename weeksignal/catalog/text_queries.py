@@ -22,11 +22,12 @@ def _sql_text(s: str) -> str:
 
 
 DOC_PHRASES = """
-dp AS (SELECT array_to_string(string_split_regex(lower(text), '\\s+')[1:(doc_id % 6 + 1)], ' ') AS phrase,
+dw AS (SELECT doc_id, string_split_regex(lower(text), '\\s+') AS w, (doc_id % 6 + 1)::INT AS k FROM documents WHERE text IS NOT NULL),
+dp AS (SELECT unnest(list_transform(range(1, len(w) + 1, k), lambda i: array_to_string(w[i:(i + k - 1)], ' '))) AS phrase,
          (doc_id % 100) / 100.0::DOUBLE AS score,
          CASE doc_id % 5 WHEN 0 THEN 'arxiv' WHEN 1 THEN 'semantic_scholar' WHEN 2 THEN 'github' WHEN 3 THEN 'reddit' ELSE 'hackernews' END AS source,
          strftime(DATE '2022-07-01' + (doc_id % 900)::INT, '%Y-%m-%d') AS date,
-         strftime(DATE '2022-07-01' + (doc_id % 900)::INT, '%G-W%V') AS week FROM documents)"""
+         strftime(DATE '2022-07-01' + (doc_id % 900)::INT, '%G-W%V') AS week FROM dw)"""
 _VARIANT_SQL = " UNION ALL ".join(
     f"SELECT replace('{_sql_text(v)}', '{{}}', phrase) AS phrase, score, source, date, week FROM dp" for v in VARIANTS
 )

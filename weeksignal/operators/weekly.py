@@ -138,9 +138,9 @@ def academic_social(signals: DataFrame, academic=("arxiv", "semantic_scholar"),
 
 
 def source_mix(signals: DataFrame, week: Column | None = None) -> DataFrame:
-    """Mentions per source in one week (the latest by default) and their share."""
+    """Mentions per source in one week (the latest well-formed one by default) and their share."""
     if week is None:
-        week = signals.agg(F.max("week")).scalar()
+        week = latest_weeks(signals).select("latest").scalar()
     counts = mentions_by(signals.where(F.col("week") == week), ["source"])
     total = counts.agg(F.sum("mentions")).scalar()
     mix = counts.withColumn("share", safe_ratio("mentions", total))

@@ -23,7 +23,11 @@ HABITS = {
 
 
 def dashboard_matrix(features: DataFrame, signals: DataFrame) -> DataFrame:
-    """Features with the academic/social scores and the number of sources, gaps as 0."""
+    """Features with the academic/social scores and the number of sources, gaps as 0.
+
+    Rows without a well-formed week are no part of any table or scale.
+    """
+    features, signals = weekly.ensure_week(features), weekly.ensure_week(signals)
     scores = weekly.academic_social(signals).select(*TOPIC_WEEK, "academic_n", "social_n", "combined")
     sources = weekly.distinct_sources(signals)
     return features.join(scores, TOPIC_WEEK, "left").join(sources, TOPIC_WEEK, "left").fillna(0)

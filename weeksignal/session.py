@@ -48,7 +48,9 @@ def ship_package(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only where the setting is absent, as in tests, a temporary folder stands in.
+    Where neither the setting nor a checkpoint folder is given, a temporary folder stands in
+    on a local master, as in tests; on a cluster that is an error, since executors would each
+    write to a disk of their own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -56,6 +58,9 @@ def shared_folder(spark: SparkSession) -> str:
     existing = spark.sparkContext._jsc.sc().getCheckpointDir()
     if existing.isDefined():
         return existing.get()
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     folder = tempfile.mkdtemp(prefix="weeksignal-")
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()

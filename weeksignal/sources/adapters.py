@@ -68,14 +68,17 @@ def dated_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_phrases(spark: SparkSession, folder: str) -> DataFrame:
-    """A lower-case phrase of one to six words from every document."""
+    """Every document, whole, as lower-case phrases of one to six words that follow one another."""
     docs = table(spark, folder, "documents")
-    words = F.slice(F.split(F.lower("text"), r"\s+", -1), F.lit(1), F.pmod("doc_id", F.lit(6)).cast("int") + 1)
+    size = F.pmod("doc_id", F.lit(6)).cast("int") + 1
     day = F.date_add(F.lit("2022-07-01").cast("date"), F.pmod("doc_id", F.lit(900)).cast("int"))
-    return docs.select(
-        F.concat_ws(" ", words).alias("phrase"),
+    words = docs.select("doc_id", F.split(F.lower("text"), r"\s+", -1).alias("words"), size.alias("size"), day.alias("day"))
+    starts = F.sequence(F.lit(1), F.size("words"), F.col("size"))
+    phrases = F.transform(starts, lambda k: F.array_join(F.slice("words", k, F.col("size")), " "))
+    return words.select(
+        F.explode(phrases).alias("phrase"),
         (F.pmod("doc_id", F.lit(100)) / 100.0).alias("score"),
         spread_source(F.col("doc_id")).alias("source"),
-        F.date_format(day, "yyyy-MM-dd").alias("date"),
-        week_of_date(day).alias("week"),
+        F.date_format("day", "yyyy-MM-dd").alias("date"),
+        week_of_date(F.col("day")).alias("week"),
     )
