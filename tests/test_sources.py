@@ -50,6 +50,16 @@ def test_links_keep_first_occurrence(spark):
     assert pages.extract_links(df, max_links=1).count() == 1
 
 
+@pytest.mark.parametrize("html, links", [
+    ("<A HREF=/x>1</A><a class=b href = '/y'>2</a>", ["/x", "/y"]),
+    ('<a href="/a?x=1&amp;y=2">', ["/a?x=1&y=2"]),
+    ('<!-- <a href="/no"> --><script>"<a href=/no>"</script><a name="n">', []),
+    ("<a href=/cut", []), ("", []), (None, []),
+])
+def test_links_by_the_parser(html, links):
+    assert pages.page_links(html) == links
+
+
 def test_calendar_and_pending(spark):
     span = spark.sql("select date'2024-02-28' as start, date'2024-03-05' as end")
     days = pages.weekdays(span)

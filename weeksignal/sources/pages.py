@@ -181,6 +181,28 @@ def html_extract(pages: DataFrame, layout: str, html: str = "html", min_chars: i
     return parsed if limit is None else parsed.where(F.char_length("text") >= limit)
 
 
+class _Anchors(HTMLParser):
+    """Addresses of the links of a page, in order."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.links: list[str] = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            self.links += [value for name, value in attrs if name == "href" and value is not None][:1]
+
+    handle_startendtag = handle_starttag
+
+
+def page_links(html: str | None) -> list[str]:
+    """Links by the parser: any quoting and case, references decoded, none from comments or scripts."""
+    parser = _Anchors()
+    parser.feed(html or "")
+    parser.close()
+    return parser.links
+
+
 def extract_links(
     pages: DataFrame,
     pattern: str = r"/the-batch/issue-\d+",
@@ -189,7 +211,11 @@ def extract_links(
     html: str = "html",
 ) -> DataFrame:
     """Distinct links of each page that match ``pattern``, absolute, in page order."""
-    hrefs = F.regexp_extract_all(F.col(html), F.lit(r"""<a\b[^>]*?\shref=["']([^"']*)["']"""), F.lit(1))
+    @F.pandas_udf("array<string>")
+    def found(batch: pd.Series) -> pd.Series:
+        return batch.map(page_links)
+
+    hrefs = found(F.col(html))
     wanted = F.filter(hrefs, lambda h: h.rlike(pattern))
     absolute = F.transform(wanted, lambda h: F.when(h.startswith("/"), F.concat(F.lit(base), h)).otherwise(h))
     links = F.slice(F.array_distinct(absolute), 1, max_links)
