@@ -58,18 +58,19 @@ def run(spark, rows, **rule):
     return {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in N.near_copies(df, **rule).collect()}
 
 
-@pytest.mark.parametrize("leaf, width", [(32, 2), (2, 2), (32, 5)])
-def test_equals_comparing_all_pairs(spark, leaf, width):
-    rows = corpus(leaf + width)
-    assert run(spark, rows, leaf=leaf, width=width) == plain(rows, width)
+@pytest.mark.parametrize("width", [2, 5])
+def test_equals_comparing_all_pairs(spark, width):
+    rows = corpus(width)
+    assert run(spark, rows, width=width) == plain(rows, width)
 
 
-def test_large_nodes_are_branched_on_and_ended_exactly(spark, monkeypatch):
-    """A node whose rows are mostly not linked to its leader goes deeper, and is compared fully at the last depth."""
-    monkeypatch.setattr(N, "MAX_DEPTH", N.DEPTH + 1)
-    monkeypatch.setattr(N, "NODE_PAIRS", 4)
+@pytest.mark.parametrize("deepest", [N.DEPTH + 1, N.DEPTH + 3])
+def test_crowded_nodes_are_branched_on_and_ended_exactly(spark, monkeypatch, deepest):
+    """With no comparison allowed beside the leader's, nodes are branched on and compared fully at the last depth."""
+    monkeypatch.setattr(N, "MAX_DEPTH", deepest)
+    monkeypatch.setattr(N, "NODE_PAIRS", 0)
     rows = corpus(11)
-    assert run(spark, rows, leaf=2) == plain(rows)
+    assert run(spark, rows) == plain(rows)
 
 
 def test_children_of_similar_sets_meet():

@@ -3,16 +3,19 @@
 A document is the set of its word shingles. In each tree a document goes down from the root
 by minwise tokens: at a node it takes the one or two tokens of its set with the smallest
 value under that level's hash, and a child for each. Similar sets take the same tokens with
-high probability, others hardly ever. Small nodes are compared exhaustively. Large nodes are
-branched on, except for documents linked to the node's leader: these are in one component
-already, so a group of near-copies of any size costs its length and not its square. Trees
-are independent; ``TREES`` of them leave a pair at the threshold out with a probability
-below one in a million.
+high probability, others hardly ever. Trees are independent; ``TREES`` of them leave a pair
+at the threshold out with a probability below one in a million.
 
-Equal sets are one vertex from the start. In a node pairs must first agree in size and in a
-128-bit sketch (a pair at the threshold fails that with a probability of about 10 ** -8),
-then links are confirmed on the full sets of words. Components are found by spreading the
-smallest id along the links with pointer jumping. Nothing is collected on the driver.
+In a node all documents are first compared with its leader, the smallest id. The links found
+this way in all nodes give components, and in each node only documents outside the leader's
+component are then compared, with all documents of other components there. So a group of
+near-copies costs its length and not its square. A node where that would still be too many
+comparisons is branched on.
+
+Equal sets are one vertex from the start. Pairs must first agree in size and in a 128-bit
+sketch (a pair at the threshold fails that with a probability of about 10 ** -8), then links
+are confirmed on the full sets of words. Components are found by spreading the smallest id
+along the links with pointer jumping. Nothing is collected on the driver.
 
 Defined cases: a null or empty text has no shingle and is linked with nothing; a text with
 fewer words than a shingle has its word sequence as the only shingle; rows with one id are
@@ -33,8 +36,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from weeksignal.session import cut_lineage
 
 TREES, DEPTH, MAX_DEPTH = 28, 5, 12
-#: Nodes up to this size are compared pair by pair.
-LEAF = 32
+#: A node is branched on if more comparisons of sketches than this would be left in it.
+NODE_PAIRS = 1 << 20
 #: Of 128 bits, so many may differ; at the threshold of 0.8 the mean is 13.
 MOST_DIFFERENT = 34
 #: Up to so many ids are broadcast (8 bytes each), more are joined by a shuffle.
@@ -63,7 +66,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -205,10 +208,10 @@ def _chosen(df: DataFrame, keys: DataFrame, key: str, how: str = "left_semi") ->
 
 
 class _Join:
-    """One similarity join: its texts and its rule."""
+    """One similarity join: its texts, its sets (id, n, s1, s2) and its rule."""
 
-    def __init__(self, docs: DataFrame, width: int, least: int, of: int, leaf: int):
-        self.docs, self.width, self.least, self.of, self.leaf = docs, width, least, of, leaf
+    def __init__(self, docs: DataFrame, sets: DataFrame, width: int, least: int, of: int):
+        self.docs, self.sets, self.width, self.least, self.of = docs, sets, width, least, of
 
     def texts(self, ids: DataFrame) -> DataFrame:
         """One text for each id of a one-column table."""
@@ -225,53 +228,49 @@ class _Join:
         both = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
         return cut_lineage(both.mapInArrow(_confirm(self.width, self.least, self.of), "a long, b long"), "near-links")
 
-    def inside(self, rows: DataFrame) -> DataFrame:
-        """Pairs in small nodes."""
-        x, y = rows.alias("x"), rows.alias("y")
-        same = (F.col("x.node") == F.col("y.node")) & (F.col("x.id") < F.col("y.id"))
-        return x.join(y, same & _fits("x", "y", self.least, self.of)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-
-    def split(self, rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-        """Rows of small nodes, and of large ones if there are any."""
-        large = cut_lineage(
-            rows.groupBy("node").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > self.leaf).select("node"), "near-large"
+    def descend(self, rows: DataFrame, depth: int, earlier: list[DataFrame]) -> list[DataFrame]:
+        """All links of pairs that meet in these nodes or below, behind the links known before."""
+        nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("leader")).where("c > 1")
+        met = cut_lineage(rows.join(cut_lineage(nodes, "near-nodes"), "node"), "near-rows")
+
+        facts = self.sets.select("id", "n", "s1", "s2")
+        star = met.where("id <> leader").select("leader", "id").distinct()
+        star = star.join(facts, "id").alias("x").join(facts.withColumnRenamed("id", "other").alias("y"), F.col("leader") == F.col("other"))
+        star = star.where(_fits("x", "y", self.least, self.of)).select(F.col("leader").alias("a"), F.col("x.id").alias("b"))
+        links = [*earlier, self.confirm(star)]
+
+        labels = components(_all(links))
+        of_leader = labels.select(F.col("id").alias("leader"), F.col("component").alias("above"))
+        marked = met.join(labels, "id", "left").join(of_leader, "leader", "left")
+        marked = marked.select(
+            "node", "tree", "id", "n", "s1", "s2", "c", F.coalesce("component", "id").alias("part"), F.coalesce("above", "leader").alias("above")
         )
-        if large.isEmpty():
-            return rows, None
-        return _chosen(rows, large, "node", "left_anti"), cut_lineage(_chosen(rows, large, "node"), "near-rows")
-
-    def large(self, rows: DataFrame, depth: int) -> list[DataFrame]:
-        """Links in large nodes and below them.
-
-        Every document is compared with its node's leader, the smallest id. Documents that
-        are not linked to it are compared with all others of the node if they are few, or if
-        the tree ends here; else the node is branched on.
-        """
-        leaders = rows.groupBy("node").agg(F.min(F.struct("id", "n", "s1", "s2")).alias("l"))
-        leaders = leaders.select("node", "l.*").alias("y")
-        led = rows.alias("x").join(leaders, F.col("x.node") == F.col("y.node"))
-        star = led.where((F.col("x.id") != F.col("y.id")) & _fits("x", "y", self.least, self.of))
-        links = [self.confirm(star.select(F.col("y.id").alias("a"), F.col("x.id").alias("b")))]
-        linked = links[0].select(F.col("a").alias("leader"), F.col("b").alias("id"))
-        named = led.where(F.col("x.id") != F.col("y.id")).select("x.*", F.col("y.id").alias("leader"))
-        far = cut_lineage(named.join(linked, ["leader", "id"], "left_anti").drop("leader"), "near-far")
-        counts = far.groupBy("node").agg((F.count(F.lit(1)) > self.leaf).alias("many"))
+        marked = cut_lineage(marked, "near-marked")
+        apart = marked.where("part <> above")
+        counts = apart.groupBy("node").agg((F.count(F.lit(1)) * F.first("c")).alias("left"))
         counts = cut_lineage(counts, "near-counts")
         ends = depth >= MAX_DEPTH
-        few = far if ends else _chosen(far, counts.where("NOT many").select("node"), "node")
-        x, y = few.alias("x"), rows.alias("y")
-        across = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.id") != F.col("y.id")) & _fits("x", "y", self.least, self.of))
-        pairs = across.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        deeper = None
-        if not ends and not counts.where("many").isEmpty():
-            open_rows = _chosen(rows, counts.where("many").select("node"), "node")
-            places = open_rows.groupBy("id", "n", "s1", "s2").agg(F.collect_set(F.struct("node", "tree")).alias("places"))
-            texts = self.texts(cut_lineage(places.select("id").distinct(), "near-ids"))
-            below = texts.join(places, "id").select("id", "text", "n", "s1", "s2", "places")
-            small, deeper = self.split(cut_lineage(below.mapInArrow(_branch(self.width, depth), _ROW), "near-below"))
-            pairs = pairs.unionByName(self.inside(small))
+        now = counts if ends else counts.where(F.col("left") <= NODE_PAIRS)
+        x, y = apart.join(now.select("node"), "node", "left_semi").alias("x"), marked.alias("y")
+        across = (F.col("x.node") == F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & _fits("x", "y", self.least, self.of)
+        pairs = x.join(y, across).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
         links.append(self.confirm(pairs))
-        return links + (self.large(deeper, depth + 1) if deeper is not None else [])
+        later = counts.where(F.col("left") > NODE_PAIRS)
+        if ends or later.isEmpty():
+            return links
+        places = marked.join(later.select("node"), "node", "left_semi").groupBy("id", "n", "s1", "s2")
+        places = places.agg(F.collect_set(F.struct("node", "tree")).alias("places"))
+        texts = self.texts(cut_lineage(places.select("id").distinct(), "near-ids"))
+        below = texts.join(places, "id").select("id", "text", "n", "s1", "s2", "places")
+        below = cut_lineage(below.mapInArrow(_branch(self.width, depth), _ROW), "near-below")
+        return self.descend(below, depth + 1, links)
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    found = parts[0]
+    for more in parts[1:]:
+        found = found.unionByName(more)
+    return found
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -293,7 +292,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_copies(
-    docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 2, least: int = 80, of: int = 100, leaf: int = LEAF
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 2, least: int = 80, of: int = 100
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, a row for each row of the input.
 
@@ -311,15 +310,8 @@ def near_copies(
     sets = cut_lineage(sets, "near-sets")
     rows = sets.select(F.posexplode("keys").alias("place", "node"), "id", "n", "s1", "s2")
     rows = rows.select("node", (F.col("place") / 2).cast("int").alias("tree"), "id", "n", "s1", "s2")
-    join = _Join(slim, width, least, of, leaf)
-    small, deeper = join.split(rows)
-    links = [join.confirm(join.inside(small))]
-    if deeper is not None:
-        links += join.large(deeper, DEPTH)
-    found = links[0]
-    for more in links[1:]:
-        found = found.unionByName(more)
-    labels = components(found)
+    links = _Join(slim, sets, width, least, of).descend(rows, DEPTH, [])
+    labels = components(_all(links))
     named = sets.select("digest", "id").join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
     out = signs.join(named, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
