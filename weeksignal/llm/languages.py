@@ -132,14 +132,26 @@ def word_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
 def _expect(shared, key: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = cached(key, lambda: shared.value)
-        totals = np.zeros(model.probability.shape)
+        totals = np.zeros(model.probability.shape[::-1])
+        number = {name: k for k, name in enumerate(model.languages)}
+        waiting: dict[tuple[int, int], tuple[list[str], list[int]]] = {}
+
+        def count(lang: int, words: list[str], weights: list[int]) -> None:
+            totals[lang] += model.expected(words, np.array(weights, float), lang)
+
+        # words of one language and length wait for each other, up to a block of bounded size
         for batch in batches:
-            frame = batch.to_pandas()
-            for lang, part in frame.groupby("lang"):
-                cut = [(w[at : at + LEARN_LENGTH], n) for w, n in zip(part["word"], part["n"], strict=True) for at in range(0, len(w), LEARN_LENGTH)]
-                weights, number = np.array([n for _, n in cut], float), model.languages.index(lang)
-                for places, words in by_length([w for w, _ in cut]):
-                    totals[:, number] += model.expected(words, weights[places], number)
+            for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for at in range(0, len(word), LEARN_LENGTH):
+                    part = word[at : at + LEARN_LENGTH]
+                    words, weights = waiting.setdefault((number[lang], len(part)), ([], []))
+                    words.append(part)
+                    weights.append(n)
+                    if len(words) == 4096:
+                        count(number[lang], *waiting.pop((number[lang], len(part))))
+        for (lang, _), (words, weights) in waiting.items():
+            count(lang, words, weights)
+        totals = totals.T
         pieces, langs = np.nonzero(totals)
         columns = [pa.array(langs.astype(np.int32)), pa.array(pieces.astype(np.int32)), pa.array(totals[pieces, langs])]
         yield pa.record_batch(columns, ["lang", "piece", "n"])
