@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weeksignal.catalog.common import Registry, feature_table
+from weeksignal.catalog.common import Registry, feature_table, nl_weekly
 from weeksignal.operators import distribution, evaluate, models
 from weeksignal.session import cut_lineage
 
@@ -96,7 +96,8 @@ def _report(spark, d):
 
 @reg.add("model_lead_time")
 def _lead_time(spark, d):
-    return per_model(spark, d, lambda test: evaluate.lead_time_stats(evaluate.lead_times(test)))
+    newsletters = nl_weekly(spark, d)
+    return per_model(spark, d, lambda test: evaluate.lead_time_stats(cut_lineage(evaluate.lead_times(test, newsletters), "leads")))
 
 
 @reg.add("model_strata")
