@@ -63,6 +63,15 @@ def test_layers_are_unwrapped_and_mapped(layer, secret):
     assert secrets.redacted(text).startswith("Größe vor ") and secrets.redacted(text).endswith("\nund danach")
 
 
+@pytest.mark.parametrize("layer", LAYERS)
+def test_equal_encoded_runs_are_all_reported(layer):
+    coded = LAYERS[layer](SECRETS[0])
+    text = f"a {coded}\n, b {coded}\n, c {coded}\n."
+    spans = secrets.all_spans(text, secrets.base_spans(text))[0]
+    for start in (m.start() for m in re.finditer(re.escape(coded), text)):
+        assert any(start <= a and b <= start + len(coded) for a, _, b in spans), start
+
+
 def test_cycles_and_plain_texts_end():
     assert secrets.examine("%25" * 200)["n_layers"] < 10
     assert secrets.examine("%2525" * 20_000)["spans"] == ""

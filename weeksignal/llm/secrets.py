@@ -2,7 +2,7 @@
 
 A text is the first layer. Every layer is scanned; its URL escapes, Unicode escapes, base64
 runs and compressed base64 runs give further layers, until no new layer appears. A layer
-that was seen before for the same text is not entered again, so a decoding that leads back
+that was seen before at the same place is not entered again, so a decoding that leads back
 to itself ends. Each layer carries the stretches of the original text that its characters
 come from, and what is found is reported at these places.
 
@@ -236,19 +236,44 @@ def _children(layer: Layer) -> list[tuple[Layer, bool]]:
 
 
 def all_spans(text: str, base: list[Span]) -> tuple[list[Span], int, bool]:
-    """Spans of all layers, the number of layers and whether the guard cut one."""
+    """Spans of all layers, the number of different layers and whether the guard cut one.
+
+    A layer from one stretch of the original is opened once per text, and its kinds are
+    reported at every place that the text comes from. Of the layers of the whole text, equal
+    ones are entered once: decoding keeps the order, so they have the same secrets.
+    """
     found, seen, cut = set(base), {text}, False
+    opened: dict[str, tuple[set[int], list[str]]] = {}
+    placed: set[tuple[str, int, int]] = set()
     work = [Layer(text, [(0, 0, len(text), 1)])] if text else []
-    while work:
-        for child, struck in _children(work.pop()):
-            cut = cut or struck
-            if child.text in seen:
-                continue
-            seen.add(child.text)
-            for start, kind, end in base_spans(child.text):
-                first, last = child.place(start, end)
-                found.add((first, kind, last))
-            work.append(child)
+    whole = {text}
+    inner: list[tuple[str, int, int]] = []
+    while work or inner:
+        if work:
+            for child, struck in _children(work.pop()):
+                cut = cut or struck
+                seen.add(child.text)
+                if len(child.origin) == 1 and not child.origin[0][3]:
+                    inner.append((child.text, *child.origin[0][1:3]))
+                elif child.text not in whole:
+                    whole.add(child.text)
+                    for start, kind, end in base_spans(child.text):
+                        first, last = child.place(start, end)
+                        found.add((first, kind, last))
+                    work.append(child)
+            continue
+        now = inner.pop()
+        if now in placed:
+            continue
+        placed.add(now)
+        coded, first, last = now
+        if coded not in opened:
+            children = _children(Layer(coded, [(0, 0, 1, 0)]))
+            cut = cut or any(struck for _, struck in children)
+            opened[coded] = {kind for _, kind, _ in base_spans(coded)}, [child.text for child, _ in children]
+            seen.update(opened[coded][1])
+        found.update((first, kind, last) for kind in opened[coded][0])
+        inner += [(inside, first, last) for inside in opened[coded][1]]
     return sorted(found), len(seen), cut
 
 
