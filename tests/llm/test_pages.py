@@ -40,6 +40,16 @@ def test_short_paragraphs_between_long_ones_stay():
     assert pages.main_text(f"<article>{body}</article>") == "\n\n".join([LONG, "x"] * 30)
 
 
+@pytest.mark.parametrize("kind", ["div", "section", "td", "blockquote", "center"])
+@pytest.mark.parametrize("share", [(6, 4), (4, 6), (95, 1), (4, 3, 3)])
+def test_all_containers_of_a_page_without_article_stay(kind, share):
+    parts = [[f"{LONG} {k}.{n}." for n in range(count)] for k, count in enumerate(share)]
+    boxes = "".join(f"<{kind}>{''.join(f'<p>{p}</p>' for p in part)}</{kind}>" for part in parts)
+    boxes = f"<table><tr>{boxes}</tr></table>" if kind == "td" else boxes
+    html = f"<body><ul><li><a href=a>Home</a><li><a href=b>News</a></ul><div id=content><h1>T</h1>{boxes}</div><ul><li><a href=c>Imprint</a></ul></body>"
+    assert pages.main_text(html) == "\n\n".join(["T", *[p for part in parts for p in part]])
+
+
 def test_smoothing_and_threshold():
     values = pages.smoothed(pages.np.array([0.0, 0, 100, 0, 0]))
     assert values.argmax() == 2 and 0 < values[1] < values[2] and values[1] == pytest.approx(values[3])

@@ -3,9 +3,10 @@
 The standard library's parser reads a page once. Block elements end a line; each line knows
 its characters, its tags, the elements around it and whether these are boilerplate by name
 or by class. The ratio of characters to tags per line is smoothed with a Gaussian, and the
-smoothed ratios are split into two clusters. The content region is the innermost container
-that holds most characters of the lines in the upper cluster, or the article around it; its
-lines outside boilerplate are the text, short ones too.
+smoothed ratios are split into two clusters. The content region is the article around the
+innermost container that holds most characters of the lines in the upper cluster; without an
+article it is the innermost container that holds all of these lines and the dense ones
+beside them. Its lines outside boilerplate are the text, short ones too.
 
 Defined cases: a null, empty or textless page has an empty text; unclosed and unopened tags
 are closed as browsers close them; a page cut off anywhere is read as far as it goes; equal
@@ -59,12 +60,12 @@ _SPACE = re.compile(r"\s+")
 
 
 class Line:
-    """Text of a block, the tags since the line before, and the elements around it (name, number)."""
+    """Text of a block, the tags since the line before, those of them inside a line, and the elements around it (name, number)."""
 
-    __slots__ = ("path", "text", "tags", "dropped")
+    __slots__ = ("path", "text", "tags", "inline", "dropped")
 
-    def __init__(self, path: tuple[tuple[str, int], ...], text: str, tags: int, dropped: bool):
-        self.path, self.text, self.tags, self.dropped = path, text, tags, dropped
+    def __init__(self, path: tuple[tuple[str, int], ...], text: str, tags: int, inline: int, dropped: bool):
+        self.path, self.text, self.tags, self.inline, self.dropped = path, text, tags, inline, dropped
 
 
 #: What an open element is: content, inside a layout name, inside boilerplate.
@@ -79,14 +80,14 @@ class Reader(HTMLParser):
         self.open: list[tuple[str, int, int, bool]] = []
         self.lines: list[Line] = []
         self.parts: list[str] = []
-        self.tags = self.count = 0
+        self.tags = self.inline = self.count = 0
 
     def _end_line(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
             path = tuple((name, number) for name, number, *_ in self.open)
-            self.lines.append(Line(path, text, self.tags, bool(self.open) and self.open[-1][2] != CONTENT))
-            self.tags = 0
+            self.lines.append(Line(path, text, self.tags, self.inline, bool(self.open) and self.open[-1][2] != CONTENT))
+            self.tags = self.inline = 0
         self.parts = []
 
     def _close(self, names: tuple[str, ...], scopes: frozenset = frozenset()) -> None:
@@ -103,6 +104,7 @@ class Reader(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
+        self.inline += tag not in BLOCKS
         if tag in BLOCKS:
             self._close(("p", "h1", "h2", "h3", "h4", "h5", "h6"), _SCOPES)
             self._end_line()
@@ -139,6 +141,7 @@ class Reader(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
+        self.inline += tag not in BLOCKS
         if tag in BLOCKS:
             self._end_line()
         if tag not in VOID:
@@ -199,9 +202,21 @@ def content(lines: list[Line]) -> list[str]:
     path = next(line.path for line in eligible if max(heavy, key=lambda e: e[1]) in line.path)
     around = path[: path.index(max(heavy, key=lambda e: e[1])) + 1]
     held = [e for e in around if e[0] in ("article", "main")]
-    best = held[-1] if held else around[-1]
-    if not held:
-        for parent in reversed(around[:-1]):  # a heading right above the region belongs to it
+    if held:
+        best = held[-1]
+    else:
+        upper = (values >= border) & (ratios > 0)
+        # smoothing and the tags of containers lower dense lines at the ends of the text: there a line counts by its own element's two tags
+        dense = [not line.dropped and len(line.text) / (2 + line.inline) >= border for line in lines]
+        for order in (range(1, len(lines)), range(len(lines) - 2, -1, -1)):
+            for k in order:
+                upper[k] |= dense[k] and upper[k - order.step]
+        shared = set(around).intersection(*(line.path for line, high in zip(lines, upper.tolist(), strict=True) if high))
+        whole = [e for e in around if e in shared and e[0] in REGIONS]
+        if not whole:
+            return [line.text for line in eligible]
+        best = whole[-1]
+        for parent in reversed(around[: around.index(best)]):  # a heading right above the region belongs to it
             outside = [line for line in eligible if parent in line.path and best not in line.path]
             if parent[0] not in REGIONS or not all(any(e[0] in HEADINGS for e in line.path) for line in outside):
                 break
