@@ -50,6 +50,22 @@ def test_all_containers_of_a_page_without_article_stay(kind, share):
     assert pages.main_text(html) == "\n\n".join(["T", *[p for part in parts for p in part]])
 
 
+@pytest.mark.parametrize("name", ['class="page with-sidebar"', "id=header-and-content", 'class="content widget-area"', "class=menu-page", 'class="post share-box" id=p', 'class="post comments-open"', "class=widget"])
+@pytest.mark.parametrize("times", [1, 2])
+def test_names_of_wrappers_drop_no_content(name, times):
+    body = [f"{LONG} {n}." for n in range(6)]
+    boxes = "".join(f"<div {name}>{''.join(f'<p>{p}</p>' for p in body)}<div class=sidebar><p>{LONG}</p></div></div>" for _ in range(times))
+    html = f"<body><div class=menu><a href=a>Home</a></div>{boxes}<div class=footer>imprint</div></body>"
+    assert pages.main_text(html) == "\n\n".join(body * times)
+
+
+def test_dense_boilerplate_beside_content_is_dropped():
+    notice = f"<div class=cookie-text><p>{LONG}</p><p>{LONG}</p></div>"
+    assert pages.main_text(f"<body><div><p>{LONG} 1.</p></div>{notice}</body>") == f"{LONG} 1."
+    side = f"<div class=left-sidebar><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>"
+    assert pages.main_text(f"<body><article><p>{LONG} 1.</p></article>{side}</body>") == f"{LONG} 1."
+
+
 def test_smoothing_and_threshold():
     values = pages.smoothed(pages.np.array([0.0, 0, 100, 0, 0]))
     assert values.argmax() == 2 and 0 < values[1] < values[2] and values[1] == pytest.approx(values[3])

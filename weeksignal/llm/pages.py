@@ -2,7 +2,7 @@
 
 The standard library's parser reads a page once. Block elements end a line; each line knows
 its characters, its tags, the elements around it and whether these are boilerplate by name
-or by class. The ratio of characters to tags per line is smoothed with a Gaussian, and the
+or by class; a class that surrounds most dense text is none. The ratio of characters to tags per line is smoothed with a Gaussian, and the
 smoothed ratios are split into two clusters. The content region is the article around the
 innermost container that holds most characters of the lines in the upper cluster; without an
 article it is the innermost container that holds all of these lines and the dense ones
@@ -17,6 +17,7 @@ ignored. Pages are read whole.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -44,6 +45,11 @@ NAMES = frozenset(
 )
 #: Of these, the ones that are boilerplate around an article too; other names only style the layout.
 READERS = frozenset("comment comments disqus replies respond".split())
+#: Notices, adverts and readers' comments can be denser than the content; other names yield to density.
+NOTICES = READERS | frozenset(
+    "ad ads advert adverts advertisement advertising alert consent cookie cookies dialog modal notice notices popup promo promoted "
+    "promotion sponsor sponsored sponsors".split()
+)
 #: Their own class is not asked, and layout names around an article or main element do not count inside.
 KEPT = frozenset("html body main article".split())
 #: Elements that can be a content region.
@@ -55,29 +61,49 @@ _CLOSES = {
 }
 _SCOPES = frozenset("article aside body dialog div dl fieldset figure footer form header html main menu nav ol search section table ul td th".split())
 SIGMA = 1.0
+#: Such as ``with-sidebar``: it tells what is inside.
+_INSIDE = re.compile(r"(?<![a-z])(?:with|without|has|have|no)[-_]+[a-z]+")
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
 
 class Line:
-    """Text of a block, the tags since the line before, those of them inside a line, and the elements around it (name, number)."""
+    """Text of a block, the tags since the line before, those of them inside a line, and the elements around it (name, number).
+
+    ``named`` has the elements around it whose names make it boilerplate.
+    """
+
+    __slots__ = ("path", "text", "tags", "inline", "dropped", "named")
+
+    def __init__(self, path: tuple[tuple[str, int], ...], text: str, tags: int, inline: int, dropped: bool, named: tuple[Named, ...]):
+        self.path, self.text, self.tags, self.inline, self.dropped, self.named = path, text, tags, inline, dropped, named
+
+
+@dataclass(frozen=True)
+class Named:
+    """An element named as boilerplate, and all words of its names."""
+
+    number: int
+    words: frozenset[str]
 
-    __slots__ = ("path", "text", "tags", "inline", "dropped")
+    @property
+    def notice(self) -> bool:
+        return bool(self.words & NOTICES)
 
-    def __init__(self, path: tuple[tuple[str, int], ...], text: str, tags: int, inline: int, dropped: bool):
-        self.path, self.text, self.tags, self.inline, self.dropped = path, text, tags, inline, dropped
+    @property
+    def only(self) -> bool:
+        return self.words <= NAMES
 
 
-#: What an open element is: content, inside a layout name, inside boilerplate.
-CONTENT, LAYOUT, DROPPED = range(3)
+_OUTSIDE = ("", 0, False, False, ())
 
 
 class Reader(HTMLParser):
-    """Lines of a page. Open elements are kept as (name, number, what it is, silent)."""
+    """Lines of a page. Open elements are kept as (name, number, boilerplate by tag, silent, named elements around)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, int, bool]] = []
+        self.open: list[tuple[str, int, bool, bool, tuple[Named, ...]]] = []
         self.lines: list[Line] = []
         self.parts: list[str] = []
         self.tags = self.inline = self.count = 0
@@ -86,7 +112,8 @@ class Reader(HTMLParser):
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
             path = tuple((name, number) for name, number, *_ in self.open)
-            self.lines.append(Line(path, text, self.tags, self.inline, bool(self.open) and self.open[-1][2] != CONTENT))
+            *_, dropped, _, named = self.open[-1] if self.open else _OUTSIDE
+            self.lines.append(Line(path, text, self.tags, self.inline, dropped, named))
             self.tags = self.inline = 0
         self.parts = []
 
@@ -116,23 +143,23 @@ class Reader(HTMLParser):
             if tag == "br":
                 self.parts.append(" ")
             return
-        inside = self.open[-1] if self.open else ("", 0, CONTENT, False)
+        *_, dropped, silent, named = self.open[-1] if self.open else _OUTSIDE
         self.count += 1
-        self.open.append((tag, self.count, self._kind(tag, attrs, inside[2]), inside[3] or tag in SILENT))
+        self.open.append((tag, self.count, *self._kind(tag, attrs, dropped, silent or tag in SILENT, named)))
 
-    def _kind(self, tag: str, attrs: list, kind: int) -> int:
-        if tag in ("article", "main") and kind == LAYOUT:
-            return CONTENT
-        if kind == DROPPED or tag in KEPT:
-            return kind
+    def _kind(self, tag: str, attrs: list, dropped: bool, silent: bool, named: tuple[Named, ...]) -> tuple[bool, bool, tuple[Named, ...]]:
+        if tag in ("article", "main"):
+            named = named and tuple(n for n in named if n.words & READERS)
+        if dropped or tag in KEPT:
+            return dropped, silent, named
         if tag in BOILERPLATE or any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs):
-            return DROPPED
-        names = set(_WORDS.findall(" ".join(v for k, v in attrs if v and k in ("class", "id", "role")).lower()))
+            return True, silent, named
+        words = set(_WORDS.findall(_INSIDE.sub(" ", " ".join(v for k, v in attrs if v and k in ("class", "id", "role")).lower())))
         if tag == "header":
-            names.add("header")
-        if any(name == "article" for name, *_ in self.open):
-            names.discard("header")
-        return DROPPED if names & READERS else LAYOUT if names & NAMES else kind
+            words.add("header")
+        if words and any(name == "article" for name, *_ in self.open):
+            words.discard("header")
+        return dropped, silent, (*named, Named(self.count, frozenset(words))) if words & NAMES else named
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -180,14 +207,52 @@ def threshold(values: np.ndarray) -> float:
     return border
 
 
+def dense(lines: list[Line]) -> tuple[np.ndarray, np.ndarray, float]:
+    """The ratio of each line, smoothed ratios, and the border above which they are dense."""
+    ratios = np.array([0.0 if line.dropped else len(line.text) / max(1, line.tags) for line in lines])
+    values = smoothed(ratios)
+    return ratios, values, threshold(values)
+
+
+def judge_names(lines: list[Line]) -> None:
+    """Drop lines inside boilerplate by name, unless density shows that the named element surrounds the content.
+
+    So it is if elements of the same names hold most dense characters, and all articles.
+    Names that also have other words are asked first; notices among them, and then names of
+    boilerplate words only, are asked if no line is left otherwise.
+    """
+    kept: set[Named] = set()
+    yielding = (lambda n: not n.notice and not n.only, lambda n: not n.only, lambda n: not n.notice)
+    for may_yield in yielding:
+        read = [Line(x.path, x.text, x.tags, x.inline, x.dropped or not all(map(may_yield, x.named)), x.named) for x in lines]
+        named = {n.number: n.words for line in read if not line.dropped for n in line.named}
+        total, articles = 0, 0
+        weight: dict[frozenset[str], list[int]] = {}
+        if named:
+            _, values, border = dense(read)
+            for line, value in zip(read, values.tolist(), strict=True):
+                if not line.dropped:
+                    high = len(line.text) if value >= border else 0
+                    held = len(line.text) if not line.named and any(e[0] in ("article", "main") for e in line.path) else 0
+                    total, articles = total + high, articles + held
+                    for words in {named[e[1]] for e in line.path if e[1] in named}:
+                        now = weight.setdefault(words, [0, 0])
+                        now[0], now[1] = now[0] + high, now[1] + held
+            kept |= {n for line in read for n in line.named if may_yield(n) and 2 * (w := weight.get(n.words, [0, -1]))[0] > total and w[1] == articles}
+        if any(not line.dropped and kept.issuperset(line.named) for line in lines):
+            break
+    for line in lines:
+        line.dropped = line.dropped or not kept.issuperset(line.named)
+
+
 def content(lines: list[Line]) -> list[str]:
     """Lines of the content region, in page order."""
+    if any(line.named for line in lines):
+        judge_names(lines)
     eligible = [line for line in lines if not line.dropped]
     if not eligible:
         return []
-    ratios = np.array([0.0 if line.dropped else len(line.text) / max(1, line.tags) for line in lines])
-    values = smoothed(ratios)
-    border = threshold(values)
+    ratios, values, border = dense(lines)
     weight: dict[tuple[str, int], int] = {}
     total = 0
     for line, value in zip(lines, values.tolist(), strict=True):
@@ -207,10 +272,10 @@ def content(lines: list[Line]) -> list[str]:
     else:
         upper = (values >= border) & (ratios > 0)
         # smoothing and the tags of containers lower dense lines at the ends of the text: there a line counts by its own element's two tags
-        dense = [not line.dropped and len(line.text) / (2 + line.inline) >= border for line in lines]
+        alone = [not line.dropped and len(line.text) / (2 + line.inline) >= border for line in lines]
         for order in (range(1, len(lines)), range(len(lines) - 2, -1, -1)):
             for k in order:
-                upper[k] |= dense[k] and upper[k - order.step]
+                upper[k] |= alone[k] and upper[k - order.step]
         shared = set(around).intersection(*(line.path for line, high in zip(lines, upper.tolist(), strict=True) if high))
         whole = [e for e in around if e in shared and e[0] in REGIONS]
         if not whole:
