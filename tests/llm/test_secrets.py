@@ -10,6 +10,7 @@ import zlib
 from urllib.parse import quote
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from weeksignal.llm import secrets
@@ -72,6 +73,45 @@ def test_equal_encoded_runs_are_all_reported(layer):
         assert any(start <= a and b <= start + len(coded) for a, _, b in spans), start
 
 
+PACKERS = {
+    "gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress, "zstd": zstandard.compress,
+    "gzip of bz2": lambda b: gzip.compress(bz2.compress(b)),
+}
+
+
+@pytest.mark.parametrize("pack", PACKERS)
+@pytest.mark.parametrize("secret", SECRETS)
+def test_all_members_and_what_follows_are_read(pack, secret):
+    for parts in ([PACKERS[pack](b"first part, "), PACKERS[pack](secret.encode())], [PACKERS[pack](b"first"), b" " + secret.encode()]):
+        coded = b64(b"".join(parts))
+        assert secrets.examine(f"x {coded} y")["spans"].endswith(f":2:{2 + len(coded)}")
+        assert secrets.redacted(f"x {coded} y") == "x [REDACTED] y"
+
+
+@pytest.mark.parametrize("pack", PACKERS)
+def test_long_layers_are_scanned_behind_the_window(monkeypatch, pack):
+    monkeypatch.setattr(secrets, "MAX_LAYER", 5000)
+    monkeypatch.setattr(secrets, "PIECE", 700)
+    for filler in ("words and lines\n", "a,", "zz" * 40 + " ", "\0"):
+        for size in (4990, 14_990, 15_005):
+            for inner in (SECRETS[1], quote(SECRETS[0], safe=""), b64(SECRETS[0].encode())):
+                body = (filler * 20_000)[:size] + f" {inner} " + filler * 50
+                coded = b64(PACKERS[pack](body.encode()))
+                out = secrets.examine(f"x {coded} y")
+                assert out["spans"] and not out["truncated"] and secrets.redacted(f"x {coded} y") == "x [REDACTED] y"
+    coded = b64(PACKERS[pack](b"A" * 50_000))
+    assert secrets.examine(coded)["truncated"] and secrets.redacted(coded) == "[REDACTED]"
+
+
+@pytest.mark.parametrize("body", [b"\x1b[31m%s\x1b[0m", b"name\0\0\0ustar\0%s\0\0", b"\xff\xfe\x80 %s \x81"])
+def test_bytes_that_are_no_text_are_scanned(body):
+    for pack in (gzip.compress, bytes):
+        coded = b64(pack(body % SECRETS[0].encode()))
+        assert f"assign:2:{2 + len(coded)}" in secrets.examine(f"x {coded} y")["spans"]
+        assert secrets.redacted(f"x {coded} y") == "x [REDACTED] y"
+    assert secrets.examine(b64(body % b"nothing"))["n_layers"] == 1
+
+
 def test_cycles_and_plain_texts_end():
     assert secrets.examine("%25" * 200)["n_layers"] < 10
     assert secrets.examine("%2525" * 20_000)["spans"] == ""

@@ -6,10 +6,11 @@ that was seen before at the same place is not entered again, so a decoding that
 to itself ends. Each layer carries the stretches of the original text that its characters
 come from, and what is found is reported at these places.
 
-Defined cases: a null or empty text has no span; a run that does not decode to UTF-8 text
-is no layer; equal spans of one kind count once; repeated rows are scanned one by one; an
-empty table gives an empty result. Texts are scanned whole. What a compressed run unpacks to
-is read up to ``MAX_LAYER`` characters, a guard against bombs; ``truncated`` tells where it struck.
+Defined cases: a null or empty text has no span; what decodes to no text is scanned byte by
+byte, and is a layer if something is found; equal spans of one kind count once; repeated rows are scanned one by one; an
+empty table gives an empty result. Texts are scanned whole, and so is what a compressed run
+unpacks to: all its members, beyond ``MAX_LAYER`` in windows, each a layer. ``truncated`` tells
+that a run of more than twice this length had to be split; redaction then replaces all of it.
 """
 
 from __future__ import annotations
@@ -17,13 +18,16 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
 import zlib
 from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain
 
 import pyarrow as pa
 import zstandard
@@ -37,7 +41,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 #: Runs of 24 and more are the maximal runs that are long enough.
 HEX = re.compile(r"[0-9a-f]{24,}")
 
+#: Longer unpacked data is scanned in windows of about this length.
 MAX_LAYER = 1 << 26
+PIECE = 1 << 20
+_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f]")
+#: Where no match, escape or base64 run goes on: behind other characters, an empty line, a line's last word that is no full line of base64, or between two words.
+_BREAK = re.compile(r"""[^A-Za-z0-9+/_=.\-%\\&#;{}\x20"':\r\n]|\n\r?\n|[\x20\n][A-Za-z0-9+/_=.-]{0,40}\r?\n|(?:[A-Za-z0-9]{10}|\x20[A-Za-z0-9]{1,9})\x20(?=[A-Za-z0-9])""")
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(
@@ -149,54 +158,160 @@ def _unicode(run: str) -> list[tuple[int, int, str]]:
     return [(0, len(run), joined.encode("utf-16", "surrogatepass").decode("utf-16", "replace"))]
 
 
-def _inflate(data: bytes) -> tuple[bytes, bool] | None:
-    """Unpacked bytes and whether the guard cut them; None if it is no known format."""
-    if data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0):
-        opened = zlib.decompressobj(47)
-    elif data[:3] == b"BZh":
-        opened = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00" or data[:3] == b"\x5d\x00\x00":
-        opened = lzma.LZMADecompressor()
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
-        opened = None
-    else:
-        return None
+def _opener(head: bytes):
+    """A decompressor for data that begins so; None if it is no known format."""
+    if head[:2] == b"\x1f\x8b" or (len(head) > 2 and head[0] & 15 == 8 and (head[0] << 8 | head[1]) % 31 == 0):
+        return zlib.decompressobj(47)
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\x00" or head[:3] == b"\x5d\x00\x00":
+        return lzma.LZMADecompressor()
+    return zstandard.ZstdDecompressor().decompressobj() if head[:4] == b"\x28\xb5\x2f\xfd" else None
+
+
+#: Decompressors that take a bound for what they put out.
+_BOUNDED = (type(zlib.decompressobj()), bz2.BZ2Decompressor, lzma.LZMADecompressor)
+
+
+class _Source:
+    """Pieces of bytes, taken in any lengths."""
+
+    def __init__(self, *pieces: Iterable[bytes]):
+        self.pieces, self.held = chain(*pieces), []
+
+    def put(self, data: bytes) -> None:
+        if len(data):
+            self.held.append(memoryview(data))
+
+    def take(self, most: int) -> bytes:
+        while not self.held:
+            if (data := next(self.pieces, None)) is None:
+                return b""
+            self.put(data)
+        data = self.held.pop()
+        self.put(data[most:])
+        return bytes(data[:most])
+
+    def head(self) -> bytes:
+        data = b""
+        while len(data) < 6 and (more := self.take(6 - len(data))):
+            data += more
+        self.put(data)
+        return data
+
+
+def _members(source: _Source) -> Iterator[bytes]:
+    """Unpacked pieces of all members, streams or frames, then what follows them."""
+    while (opened := _opener(source.head())) is not None:
+        bound = (PIECE,) if isinstance(opened, _BOUNDED) else ()
+        while not opened.eof and (data := source.take(PIECE if bound else 256)):
+            while True:
+                if out := opened.decompress(data, *bound):
+                    yield out
+                data = getattr(opened, "unconsumed_tail", b"")
+                if opened.eof or not bound or not data and len(out) < PIECE and getattr(opened, "needs_input", True):
+                    break
+        source.put(opened.unused_data)
+    if source.head():
+        yield b"\0"
+    while data := source.take(PIECE):
+        yield data
+
+
+_FAULTS = (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError)
+
+
+def _filled(pieces: Iterator[bytes]) -> tuple[bytes, bool, bool]:
+    """Pieces up to ``MAX_LAYER`` bytes, whether there may be more, and whether they end in a fault."""
+    parts, size = [], 0
     try:
-        if opened is None:
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                out = reader.read(MAX_LAYER + 1)
-        else:
-            out = opened.decompress(data, MAX_LAYER + 1)
-    except (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError):
-        return None
-    return out[:MAX_LAYER], len(out) > MAX_LAYER
+        for piece in pieces:
+            parts.append(piece)
+            size += len(piece)
+            if size > MAX_LAYER:
+                return b"".join(parts), True, False
+    except _FAULTS:
+        return b"".join(parts), False, True
+    return b"".join(parts), False, False
+
+
+def _plain(data: bytes) -> str | None:
+    """Bytes as text without control characters."""
+    for coding in ("utf-8", "utf-16-le") if b"\0" in data[:4] else ("utf-8",):
+        try:
+            text = data.decode(coding)
+        except UnicodeDecodeError:
+            continue
+        if not _CONTROL.search(text):
+            return text
+    return None
+
+
+def _raw(data: bytes) -> list[str]:
+    """Other bytes as the patterns can be found in them."""
+    return [data.decode("latin-1"), *([data.decode("utf-16-le", "replace")] if b"\0" in data else [])]
 
 
-def _unpacked(run: str) -> tuple[str, bool] | None:
-    """Text behind a base64 run, through any number of compressed layers."""
+def _windows(pieces: Iterable[bytes], coding: str) -> Iterator[tuple[str, bool]]:
+    """Long text in windows that end where no match and no run goes on.
+
+    A single run of over ``2 * MAX_LAYER`` characters is split with an overlap, which is told: matches
+    are still found, but what it encodes is decoded in part.
+    """
+    decoder, text, wanted = codecs.getincrementaldecoder(coding)("replace"), "", MAX_LAYER
+    try:
+        for piece in chain(pieces, [b""]):
+            text += re.sub(r"\x20{3,}", "  ", decoder.decode(piece, not piece))
+            if len(text) < wanted:
+                continue
+            ends = [m.end() for m in _BREAK.finditer(text, max(0, len(text) - (1 << 16)))] or [m.end() for m in _BREAK.finditer(text)][-1:]
+            if ends:
+                yield text[: ends[-1]], False
+                text, wanted = text[ends[-1] :], MAX_LAYER
+            elif len(text) >= 2 * MAX_LAYER:
+                yield text, True
+                text, wanted = text[-64:], MAX_LAYER
+            else:
+                wanted = 2 * MAX_LAYER
+    except _FAULTS:
+        pass
+    if text:
+        yield text, False
+
+
+def _unpacked(run: str) -> tuple[bool, Iterator[tuple[str, bool, bool]]] | None:
+    """Whether text is behind a base64 run, through any number of compressed layers, and what is behind it.
+
+    That is texts, whether each is of undecodable bytes, and whether the guard struck.
+    """
     packed = re.sub(r"\s", "", run).rstrip("=").replace("-", "+").replace("_", "/")
     packed = packed[: len(packed) - (len(packed) % 4 == 1)]
     try:
         data = base64.b64decode(packed + "=" * (-len(packed) % 4))
     except (binascii.Error, ValueError):
         return None
-    cut, seen = False, set()
-    while (digest := hashlib.blake2b(data).digest()) not in seen:
+    seen, more, broken = set(), (), []
+    while _opener(data[:6]) is not None and (digest := hashlib.blake2b(data).digest()) not in seen:
         seen.add(digest)
-        inflated = _inflate(data)
-        if inflated is None:
+        members = _members(_Source([data], more))
+        out, longer, fault = _filled(members)
+        if fault and not more:
+            broken.append(data)
+        if fault and not out:
             break
-        data, cut = inflated[0], cut or inflated[1]
-    for coding in ("utf-8", "utf-16-le") if b"\0" in data[:4] else ("utf-8",):
-        try:
-            text = data.decode(coding)
-        except UnicodeDecodeError as error:
-            if not cut or coding != "utf-8" or error.start < len(data) - 4:
-                continue
-            text = data[: error.start].decode(coding)
-        if not re.search(r"[\x00-\x08\x0e-\x1f]", text):
-            return text, cut
-    return None
+        data, more = out, members if longer else ()
+    plain = _plain(data) if not more else None
+
+    def behind() -> Iterator[tuple[str, bool, bool]]:
+        if more:
+            coding = "utf-16-le" if b"\0" in data[:4] and not _CONTROL.search(data[:4096].decode("utf-16-le", "replace")) else "utf-8"
+            yield from ((text, False, cut) for text, cut in _windows(chain([data], more), coding))
+        elif plain is not None:
+            yield plain, False, False
+        for rest in broken if more or plain is not None else [data, *broken]:
+            yield from ((text, True, False) for text in _raw(rest))
+
+    return bool(more) or plain is not None and not broken, behind()
 
 
 def _runs(text: str) -> list[tuple[int, int]]:
@@ -218,63 +333,119 @@ def _runs(text: str) -> list[tuple[int, int]]:
     return [(a, b + len(re.match("={0,2}", text[b : b + 2]).group())) for a, b in runs]
 
 
-def _children(layer: Layer) -> list[tuple[Layer, bool]]:
+def _transparent(layer: Layer) -> list[Layer]:
+    """Layers with all escapes of a kind decoded."""
     text, out = layer.text, []
     if "%" in text and (url := _replaced(layer, _URL, _url)):
-        out.append((url, False))
+        out.append(url)
     if ("\\" in text or "&#" in text) and (plain := _replaced(layer, _UNICODE, _unicode)):
-        out.append((plain, False))
+        out.append(plain)
+    return out
+
+
+def _encoded(text: str) -> Iterator[tuple[int, int, Iterator[tuple[str, bool, bool]]]]:
+    """Start and end of each encoded run, and what is behind it (see ``_unpacked``)."""
     for start, end in _runs(text):
         run = text[start:end]
         found = _unpacked(run)
-        pieces = [(start, end, found)]
-        if found is None and re.search(r"[/_+-]", run):  # such as a path in front of the run
-            parts = re.finditer(r"[A-Za-z0-9]{12,}={0,2}", run)
-            pieces = [(start + p.start(), start + p.end(), _unpacked(p.group())) for p in parts]
-        out += [(Layer(f[0], [(0, *layer.place(a, b), 0)]), f[1]) for a, b, f in pieces if f and f[0]]
-    return out
+        if found and not found[0] and re.search(r"[/_+-]", run):  # such as a path in front of the run
+            for p in re.finditer(r"[A-Za-z0-9]{12,}={0,2}", run):
+                piece = _unpacked(p.group())
+                if piece and piece[0]:
+                    yield start + p.start(), start + p.end(), piece[1]
+        if found:
+            yield start, end, found[1]
 
 
-def all_spans(text: str, base: list[Span]) -> tuple[list[Span], int, bool]:
-    """Spans of all layers, the number of different layers and whether the guard cut one.
+def _key(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass")).digest()
+
+
+@dataclass
+class Opened:
+    """What a text from one stretch holds: kinds, the keys of its layers, and whether the guard struck in them."""
+
+    kinds: set[int]
+    inside: set[bytes]
+    cut: bool = False
+
+
+def _open(text: str, raw: bool, opened: dict[bytes, Opened], empty: set[bytes]) -> bytes:
+    """The key of a text; it and all layers below are added to ``opened``, ``empty`` gets bytes in which nothing is."""
+    stack: list[tuple[bytes, bool, Iterator[tuple[str, bool, bool]]]] = []
+
+    def enter(text: str, raw: bool) -> bytes:
+        key = _key(text)
+        if key not in opened:
+            opened[key] = Opened({kind for _, kind, _ in base_spans(text)}, set())
+            layer = Layer(text, [(0, 0, 1, 0)])
+            stack.append((key, raw, chain(
+                ((x.text, raw, False) for x in _transparent(layer)), chain.from_iterable(x for *_, x in _encoded(text))
+            )))
+        return key
+
+    root = enter(text, raw)
+    while stack:
+        key, bytes_only, rest = stack[-1]
+        child = next(rest, None)
+        if child is None:
+            stack.pop()
+            if bytes_only and not opened[key].kinds and opened[key].inside <= empty:
+                empty.add(key)
+        elif child[0]:
+            opened[key].cut |= child[2]
+            opened[key].inside.add(enter(*child[:2]))
+    return root
+
+
+def _search(text: str, base: list[Span]) -> tuple[set[Span], int, set[tuple[int, int]]]:
+    """Spans of all layers, the number of different layers, and the stretches in which the guard struck.
 
     A layer from one stretch of the original is opened once per text, and its kinds are
     reported at every place that the text comes from. Of the layers of the whole text, equal
     ones are entered once: decoding keeps the order, so they have the same secrets.
+    Undecodable bytes count as a layer if something is found in them.
     """
-    found, seen, cut = set(base), {text}, False
-    opened: dict[str, tuple[set[int], list[str]]] = {}
-    placed: set[tuple[str, int, int]] = set()
+    found, whole, cut = set(base), {text}, set()
+    opened: dict[bytes, Opened] = {}
+    empty: set[bytes] = set()
+    placed: set[tuple[bytes, int, int]] = set()
     work = [Layer(text, [(0, 0, len(text), 1)])] if text else []
-    whole = {text}
-    inner: list[tuple[str, int, int]] = []
-    while work or inner:
-        if work:
-            for child, struck in _children(work.pop()):
-                cut = cut or struck
-                seen.add(child.text)
-                if len(child.origin) == 1 and not child.origin[0][3]:
-                    inner.append((child.text, *child.origin[0][1:3]))
-                elif child.text not in whole:
-                    whole.add(child.text)
-                    for start, kind, end in base_spans(child.text):
-                        first, last = child.place(start, end)
-                        found.add((first, kind, last))
-                    work.append(child)
-            continue
-        now = inner.pop()
-        if now in placed:
-            continue
-        placed.add(now)
-        coded, first, last = now
-        if coded not in opened:
-            children = _children(Layer(coded, [(0, 0, 1, 0)]))
-            cut = cut or any(struck for _, struck in children)
-            opened[coded] = {kind for _, kind, _ in base_spans(coded)}, [child.text for child, _ in children]
-            seen.update(opened[coded][1])
-        found.update((first, kind, last) for kind in opened[coded][0])
-        inner += [(inside, first, last) for inside in opened[coded][1]]
-    return sorted(found), len(seen), cut
+    while work:
+        layer = work.pop()
+        inner: list[tuple[bytes, int, int]] = []
+        for child in _transparent(layer):
+            if len(child.origin) == 1 and not child.origin[0][3]:
+                inner.append((_open(child.text, False, opened, empty), *child.origin[0][1:3]))
+            elif child.text not in whole:
+                whole.add(child.text)
+                for start, kind, end in base_spans(child.text):
+                    first, last = child.place(start, end)
+                    found.add((first, kind, last))
+                work.append(child)
+        for start, end, behind in _encoded(layer.text):
+            place = layer.place(start, end)
+            for coded, raw, struck in behind:
+                if struck:
+                    cut.add(place)
+                if coded:
+                    inner.append((_open(coded, raw, opened, empty), *place))
+        while inner:
+            now = inner.pop()
+            if now not in placed:
+                placed.add(now)
+                key, first, last = now
+                found.update((first, kind, last) for kind in opened[key].kinds)
+                if opened[key].cut:
+                    cut.add((first, last))
+                inner += [(inside, first, last) for inside in opened[key].inside]
+    return found, len({_key(t) for t in whole} | opened.keys() - empty), cut
+
+
+def all_spans(text: str, base: list[Span]) -> tuple[list[Span], int, bool]:
+    """Spans of all layers, the number of different layers and whether the guard struck."""
+    found, layers, cut = _search(text, base)
+    return sorted(found), layers, bool(cut)
 
 
 def listed(spans: list[Span]) -> str:
@@ -304,7 +475,11 @@ def examine(text: str) -> dict:
 
 def redacted(text: str, mark: str = "[REDACTED]") -> str:
     """The text with a mark in place of every span, scanned again until nothing is found."""
-    while spans := all_spans(text, base_spans(text))[0]:
+    while True:
+        found, _, cut = _search(text, base_spans(text))
+        spans = sorted(found | {(first, 0, last) for first, last in cut})  # what was not read whole is no clean text
+        if not spans:
+            break
         parts, done = [], 0
         for start, _, end in spans:
             if start >= done:
