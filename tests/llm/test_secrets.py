@@ -112,6 +112,24 @@ def test_bytes_that_are_no_text_are_scanned(body):
     assert secrets.examine(b64(body % b"nothing"))["n_layers"] == 1
 
 
+@pytest.mark.parametrize("follows", ["2024 was", "NOTE: x", "END2", "-----END X", "Ab/Cd+Ef", "A" * 64, "q9Zx" * 16])
+@pytest.mark.parametrize("width, lines", [(64, 1), (64, 3), (76, 2)])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, bz2.compress])
+def test_full_last_lines_are_read_without_what_follows(follows, width, lines, pack):
+    for length in range(4000):  # the data fills its last line
+        data = pack(("".join(chr(97 + k * k % 23) + " " * (k % 7 == 0) for k in range(length)) + f" {SECRETS[0]}").encode())
+        if len(data) % (width // 4 * 3) == 0 and len(data) >= lines * width // 4 * 3:
+            break
+    coded = re.sub(f"(.{{{width}}})(?=.)", r"\1\n", b64(data))
+    for before in ("", "Some/path/"):
+        text = f"x {before}{coded}\n{follows}"
+        want = 2 + len(before), 0, 2 + len(before) + len(coded)
+        if not before or "\n" not in coded:
+            assert want in secrets.all_spans(text, secrets.base_spans(text))[0]
+            out = secrets.redacted(text)
+            assert coded not in out and f"[REDACTED]\n{follows}" in out
+
+
 def test_cycles_and_plain_texts_end():
     assert secrets.examine("%25" * 200)["n_layers"] < 10
     assert secrets.examine("%2525" * 20_000)["spans"] == ""

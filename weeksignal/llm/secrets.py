@@ -16,7 +16,6 @@ that a run of more than twice this length had to be split; redaction then replac
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import codecs
 import hashlib
@@ -178,6 +177,8 @@ class _Source:
 
     def __init__(self, *pieces: Iterable[bytes]):
         self.pieces, self.held = chain(*pieces), []
+        #: Whether a member breaks off; bytes behind the last one, as far as they are held.
+        self.partial, self.behind = False, 0
 
     def put(self, data: bytes) -> None:
         if len(data):
@@ -211,8 +212,10 @@ def _members(source: _Source) -> Iterator[bytes]:
                 data = getattr(opened, "unconsumed_tail", b"")
                 if opened.eof or not bound or not data and len(out) < PIECE and getattr(opened, "needs_input", True):
                     break
+        source.partial = not opened.eof
         source.put(opened.unused_data)
     if source.head():
+        source.behind = sum(map(len, source.held))
         yield b"\0"
     while data := source.take(PIECE):
         yield data
@@ -279,27 +282,33 @@ def _windows(pieces: Iterable[bytes], coding: str) -> Iterator[tuple[str, bool]]
         yield text, False
 
 
-def _unpacked(run: str) -> tuple[bool, Iterator[tuple[str, bool, bool]]] | None:
-    """Whether text is behind a base64 run, through any number of compressed layers, and what is behind it.
+def _packed(run: str) -> str:
+    """The base64 characters of a run."""
+    return re.sub(r"\s", "", run).rstrip("=").replace("-", "+").replace("_", "/")
 
-    That is texts, whether each is of undecodable bytes, and whether the guard struck.
-    """
-    packed = re.sub(r"\s", "", run).rstrip("=").replace("-", "+").replace("_", "/")
+
+def _bytes(packed: str) -> bytes:
     packed = packed[: len(packed) - (len(packed) % 4 == 1)]
-    try:
-        data = base64.b64decode(packed + "=" * (-len(packed) % 4))
-    except (binascii.Error, ValueError):
-        return None
-    seen, more, broken = set(), (), []
+    return base64.b64decode(packed + "=" * (-len(packed) % 4))
+
+
+def _unpacked(run: str) -> tuple[bool, Iterator[tuple[str, bool, bool]], bool]:
+    """Whether text is behind a base64 run, through any number of compressed layers, what is behind it, and whether it breaks off.
+
+    Behind it are texts, whether each is of undecodable bytes, and whether the guard struck.
+    """
+    data = _bytes(_packed(run))
+    seen, more, broken, partial = set(), (), [], False
     while _opener(data[:6]) is not None and (digest := hashlib.blake2b(data).digest()) not in seen:
         seen.add(digest)
-        members = _members(_Source([data], more))
+        source = _Source([data], more)
+        members = _members(source)
         out, longer, fault = _filled(members)
         if fault and not more:
             broken.append(data)
         if fault and not out:
             break
-        data, more = out, members if longer else ()
+        data, more, partial = out, members if longer else (), partial or source.partial
     plain = _plain(data) if not more else None
 
     def behind() -> Iterator[tuple[str, bool, bool]]:
@@ -311,7 +320,7 @@ def _unpacked(run: str) -> tuple[bool, Iterator[tuple[str, bool, bool]]] | None:
         for rest in broken if more or plain is not None else [data, *broken]:
             yield from ((text, True, False) for text in _raw(rest))
 
-    return bool(more) or plain is not None and not broken, behind()
+    return bool(more) or plain is not None and not broken, behind(), partial
 
 
 def _runs(text: str) -> list[tuple[int, int]]:
@@ -343,18 +352,78 @@ def _transparent(layer: Layer) -> list[Layer]:
     return out
 
 
+def _good(data: bytes) -> int:
+    """How many bytes from the start on are text."""
+    most = 0
+    for coding, width in (("utf-8", 0), ("utf-16-le", 2)) if b"\0" in data[:4] else (("utf-8", 0),):
+        try:
+            text = data.decode(coding)
+        except UnicodeDecodeError as error:
+            text = data[: error.start].decode(coding)
+        if m := _CONTROL.search(text):
+            text = text[: m.start()]
+        most = max(most, width * len(text) or len(text.encode()))
+    return most
+
+
+def _extent(packed: str, start: int) -> int:
+    """Up to where a run decodes, or up to where what is compressed in it goes, from a start on; in units of four characters."""
+    size = 64
+    while True:
+        data = _bytes(packed[start : start + size])
+        if size == 64 and _opener(data[:6]) is not None:
+            source = _Source([_bytes(packed[start:])])
+            if not _filled(_members(source))[2]:
+                return start + (len(packed) - start) // 4 * 4 - source.behind // 3 * 4 if source.behind else len(packed)
+        good = _good(data)
+        if good < len(data) - 3 or start + size >= len(packed):
+            return start + good // 3 * 4
+        size *= 2
+
+
+def _parts(run: str) -> Iterator[tuple[int, int, Iterator[tuple[str, bool, bool]]]]:
+    """What is in a run that is no text as a whole: a path may stand before it, or a word of the next line behind it.
+
+    Stretches that decode by themselves, from a line's start or behind one of / _ + - up to a line's
+    end or one of these; what is left over is read as bytes, from each of the four places it can be aligned to.
+    """
+    gone, starts, ends = 0, [(0, 0)], []
+    for m in re.finditer(r"[/_+-]|\r?\n", run):
+        if not ends or ends[-1][0] < m.start() - gone:
+            ends.append((m.start() - gone, m.start()))
+        gone += len(m.group()) if m.group()[-1] == "\n" else 0
+        starts.append((m.end() - gone, m.end()))
+    packed = _packed(run)
+    ends.append((len(packed), len(run)))
+    left, done = [], 0
+    for here, start in starts:
+        if start < done or len(packed) - here < LEAST_RUN:
+            continue
+        at = bisect_right(ends, (_extent(packed, here) + 3, len(run)))
+        for there, end in [e for e in ends[max(0, at - 8) : at] if e[0] - here >= LEAST_RUN and (e[0] - here) % 4 != 1][::-1]:
+            found = _unpacked(run[start:end])
+            if found[0] and not found[2]:
+                left.append((done, start))
+                yield start, end, found[1]
+                done = end
+                break
+    for first, last in [*left, (done, len(run))]:
+        aligned: dict[int, int] = {}
+        for here, start in starts:
+            if first <= start <= last - LEAST_RUN:
+                aligned.setdefault(here % 4, start)
+        for start in aligned.values():
+            yield start, last, _unpacked(run[start:last])[1]
+
+
 def _encoded(text: str) -> Iterator[tuple[int, int, Iterator[tuple[str, bool, bool]]]]:
     """Start and end of each encoded run, and what is behind it (see ``_unpacked``)."""
     for start, end in _runs(text):
-        run = text[start:end]
-        found = _unpacked(run)
-        if found and not found[0] and re.search(r"[/_+-]", run):  # such as a path in front of the run
-            for p in re.finditer(r"[A-Za-z0-9]{12,}={0,2}", run):
-                piece = _unpacked(p.group())
-                if piece and piece[0]:
-                    yield start + p.start(), start + p.end(), piece[1]
-        if found:
+        found = _unpacked(text[start:end])
+        if found[0]:
             yield start, end, found[1]
+        else:
+            yield from ((start + a, start + b, behind) for a, b, behind in _parts(text[start:end]))
 
 
 def _key(text: str) -> bytes:
