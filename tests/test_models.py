@@ -42,3 +42,16 @@ def test_tuning_and_scoring(spark, matrix):
     forest = models.fit_forest(data.part("train"), 5, 3)
     importance = models.importance_table(spark, forest, data.features, "rf").collect()
     assert sum(r.weight for r in importance) == pytest.approx(1.0) and importance[0].feature in ("topic_nl_rate_8wk", "topic_nl_rate_alltime")
+
+
+def test_queries_keep_no_models(monkeypatch):
+    from types import SimpleNamespace
+
+    from weeksignal.catalog import model_queries
+
+    runs = []
+    monkeypatch.setattr(model_queries, "prepared", lambda spark, d: runs.append("rows") or len(runs))
+    monkeypatch.setattr(model_queries.models, "tune", lambda data, *_: runs.append("grid") or ("model", data))
+    session = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="one"))
+    first, second = (model_queries._tree(session, "folder") for _ in range(2))
+    assert runs == ["rows", "grid"] * 2 and first != second

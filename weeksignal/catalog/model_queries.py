@@ -16,8 +16,6 @@ def prepared(spark, d):
     return models.prepare(capped)
 
 
-_TUNED = {}
-
 GRIDS = {
     "Decision Tree": (models.TREE_DEPTHS, models.fit_tree, 0),
     "Logistic Regression": (models.REGULARISATION, models.fit_logistic, models.REGULARISATION.index(0.1)),
@@ -25,46 +23,46 @@ GRIDS = {
 }
 
 
-def tuned(spark, d, name):
-    """The best model of a grid, the grid's scores and the prepared rows; searched once per application and folder."""
-    key = (spark.sparkContext.applicationId, d)
-    if (key, "data") not in _TUNED:
-        _TUNED[key, "data"] = prepared(spark, d)
-    if (key, name) not in _TUNED:
+def tuned(spark, d, names=tuple(GRIDS)):
+    """The prepared rows, and by name the best model of a grid and the grid's scores; each query searches anew."""
+    data, found = prepared(spark, d), {}
+    for name in names:
         grid, fit, fallback = GRIDS[name]
-        _TUNED[key, name] = models.tune(_TUNED[key, "data"], grid, fit, fallback)
-    return (*_TUNED[key, name], _TUNED[key, "data"])
+        found[name] = models.tune(data, grid, fit, fallback)
+    return data, found
+
+
+def grid_scores(spark, d, name):
+    return tuned(spark, d, [name])[1][name][1]
 
 
 @reg.add("decision_tree")
 def _tree(spark, d):
-    return tuned(spark, d, "Decision Tree")[1]
+    return grid_scores(spark, d, "Decision Tree")
 
 
 @reg.add("logistic_regression")
 def _logistic(spark, d):
-    return tuned(spark, d, "Logistic Regression")[1]
+    return grid_scores(spark, d, "Logistic Regression")
 
 
 @reg.add("random_forest")
 def _forest(spark, d):
-    return tuned(spark, d, "Random Forest")[1]
+    return grid_scores(spark, d, "Random Forest")
 
 
 @reg.add("feature_importance")
 def _importance(spark, d):
-    parts = []
-    for name in GRIDS:
-        model, _, data = tuned(spark, d, name)
-        parts.append(models.importance_table(spark, model, data.features, name))
+    data, found = tuned(spark, d)
+    parts = [models.importance_table(spark, model, data.features, name) for name, (model, _) in found.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def scored_models(spark, d):
     """The test weeks, scored by the best model of each grid."""
+    data, found = tuned(spark, d)
     scored = None
-    for name in GRIDS:
-        model, _, data = tuned(spark, d, name)
+    for name, (model, _) in found.items():
         part = models.score(model, data.part("test")).withColumn("model", F.lit(name))
         scored = part if scored is None else scored.unionByName(part)
     return cut_lineage(scored.drop("features", "scaled"), "scored-models")
