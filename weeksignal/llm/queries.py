@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from weeksignal.llm import chat, decontaminate, languages, near_copies, packing, pages, quality, secrets, sharding, url_lists
+from weeksignal.llm import (
+    chat, decontaminate, exact_copies, languages, near_copies, packing, pages, prefix_trie, quality, secrets, sharding, spelling, url_lists,
+)
 from weeksignal.llm.sql import SQL as SQL
 from weeksignal.session import ship_package
 
@@ -106,6 +108,18 @@ def op10_benchmark_decontamination(spark, folder):
     )
 
 
+def op11_exact_dedup(spark, folder):
+    return exact_copies.exact_copies(_table(spark, folder, "documents"))
+
+
+def op12_prefix_trie(spark, folder):
+    return prefix_trie.prefix_trie(_table(spark, folder, "conversations")).drop("prefix")
+
+
+def op13_spelling_variants(spark, folder):
+    return spelling.spelling_variants(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_secret_scans": op1_secret_scans,
     "op2_url_filters": op2_url_filters,
@@ -117,4 +131,7 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_packing": op9_packing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_spelling_variants": op13_spelling_variants,
 }

@@ -115,7 +115,88 @@ reached(doc_id, c) AS (
 SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(c) AS component_id, doc_id = min(c) AS kept
 FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
 
+OP11 = f"""
+WITH d AS (SELECT doc_id, {_FOLDED} AS t FROM documents),
+g AS (
+  SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS n,
+         row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) AS k FROM d)
+SELECT doc_id, keep_id, n::BIGINT AS group_size, k = 1 AS kept, sha256(t) AS text_sha256 FROM g"""
+
+
+def _crc_of(nibble: int) -> int:
+    for _ in range(4):
+        nibble = nibble >> 1 ^ (0xEDB88320 if nibble & 1 else 0)
+    return nibble
+
+
+def crc32(text: str) -> str:
+    """SQL for the checksum of a text's UTF-8 bytes, half a byte after the other."""
+    table, digits = [_crc_of(k) for k in range(16)], f"hex(encode({text}))"
+    halves = f"list_transform(range(len({digits})), lambda i: (strpos('0123456789ABCDEF', {digits}[xor(i, 1) + 1]) - 1)::BIGINT)"
+    return f"xor(list_reduce({halves}, lambda c, x: xor(({table}::BIGINT[])[(xor(c, x) & 15) + 1], c >> 4), 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+OP12 = f"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           unhex(sha256(octet_length(encode(coalesce(role, '')))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, {crc32("conv_id::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+own AS (
+  SELECT c.conv_id, t.k, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 5 AND t.k <= h
+  UNION ALL SELECT c.conv_id, t.k + 8, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.k > h),
+built AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY k) AS d FROM own),
+p AS (
+  SELECT conv_id, 0 AS depth, '' AS node, NULL::VARCHAR AS parent, 0 AS size FROM c
+  UNION ALL
+  SELECT p.conv_id, p.depth + 1, sha256(p.node || ':' || octet_length(encode(role))::VARCHAR || ':' || role || text), p.node, octet_length(encode(text))
+  FROM p JOIN built b ON b.conv_id = p.conv_id AND b.d = p.depth + 1),
+m AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM p),
+nodes AS (
+  SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n, any_value(size) AS size,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM m GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n FROM nodes GROUP BY 1),
+up AS (
+  SELECT node AS top, node AS below, parent FROM nodes
+  UNION ALL SELECT n.node, u.below, n.parent FROM up u JOIN nodes n ON n.node = u.parent),
+sums AS (
+  SELECT top AS node, count(*) FILTER (k.n IS NULL) AS leaves, sum((b.n - 1) * b.size) AS saved
+  FROM up u JOIN nodes b ON b.node = u.below LEFT JOIN kids k ON k.node = u.below GROUP BY 1)
+SELECT a.conv_id, a.depth::BIGINT AS depth, b.conv_id AS parent_conv_id, a.n::BIGINT AS n_convs, coalesce(k.n, 0)::BIGINT AS n_children,
+       s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, a.ends_sha256
+FROM nodes a JOIN sums s USING (node) LEFT JOIN nodes b ON b.node = a.parent LEFT JOIN kids k ON k.node = a.node"""
+
+OP13 = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' AS before, unnest(regexp_extract_all({_FOLDED}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+each AS (SELECT before, run, count(*) AS n FROM runs GROUP BY 1, 2),
+h AS (SELECT run, n, {crc32("before || run")} AS h FROM each),
+noted AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM noted WHERE length(word) >= 5 GROUP BY 1 HAVING sum(n) >= 3),
+cut AS (
+  SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM w)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN w b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN w b ON a.rest = b.word),
+best AS (
+  SELECT word, other, n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY n DESC, other) AS k FROM near),
+f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN b.n >= 2 * w.n THEN other END AS form,
+         CASE WHEN b.n >= 2 * w.n THEN b.n END AS form_n
+  FROM w LEFT JOIN best b ON b.word = w.word AND k = 1),
+path AS (
+  SELECT word, word AS stop, form AS next FROM f
+  UNION ALL SELECT p.word, f.word, f.form FROM path p JOIN f ON f.word = p.next)
+SELECT f.word, form, stop AS root, n, n_near, form_n FROM f JOIN path p ON p.word = f.word AND p.next IS NULL"""
+
 SQL = {
+    "op11_exact_dedup": OP11,
+    "op12_prefix_trie": OP12,
+    "op13_spelling_variants": OP13,
     "op2_url_filters": OP2,
     "op3_chat_formatting": OP3,
     "op6_html_extraction": OP6,
