@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from weeksignal.catalog.common import Registry, feature_table, nl_weekly
@@ -24,12 +27,16 @@ GRIDS = {
 
 
 def tuned(spark, d, names=tuple(GRIDS)):
-    """The prepared rows, and by name the best model of a grid and the grid's scores; each query searches anew."""
-    data, found = prepared(spark, d), {}
-    for name in names:
-        grid, fit, fallback = GRIDS[name]
-        found[name] = models.tune(data, grid, fit, fallback)
-    return data, found
+    """The prepared rows, and by name the best model of a grid and the grid's scores; each query searches anew.
+
+    The grids of one query are fitted at the same time, as the jobs of each leave cores idle.
+    """
+    data = prepared(spark, d)
+    search = lambda name: models.tune(data, *GRIDS[name])
+    if len(names) == 1:
+        return data, {names[0]: search(names[0])}
+    with ThreadPoolExecutor(len(names)) as pool:
+        return data, dict(zip(names, pool.map(inheritable_thread_target(spark)(search), names), strict=True))
 
 
 def grid_scores(spark, d, name):

@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weeksignal.operators import evaluate
+from weeksignal.operators import evaluate, grids
 from weeksignal.operators.stats import LABEL
 from weeksignal.session import cut_lineage
 
@@ -104,8 +104,50 @@ def fit_forest(train: DataFrame, trees: int, depth: int):
     return forest.fit(train)
 
 
+def tree_grid(train: DataFrame, depths: list[int | None]) -> grids.Trees:
+    """All depths from the deepest tree."""
+    tree = fit_tree(train, None if None in depths else max(depths))
+    points = [(1, UNLIMITED_DEPTH if depth is None else depth) for depth in depths]
+    return grids.Trees(grids.Nodes.of(grids.node_table(tree)), points, tree.numFeatures)
+
+
+def forest_grid(train: DataFrame, points: list[tuple[int, int]]) -> grids.Trees:
+    """All points from the largest forest of the deepest trees: its first trees, cut at their depth."""
+    forest = fit_forest(train, max(trees for trees, _ in points), max(depth for _, depth in points))
+    return grids.Trees(grids.Nodes.of(grids.node_table(forest)), points, forest.numFeatures)
+
+
+def logistic_grid(train: DataFrame, strengths: list[float]) -> grids.Lines:
+    """All regularisation strengths, each pass over the rows serving all of them."""
+    width = len(train.select("scaled").first()["scaled"])
+    return grids.fit_lines(train, strengths, width, LABEL)
+
+
+class Separate:
+    """Grid points that were fitted one by one."""
+
+    def __init__(self, fitted: list):
+        self.fitted = fitted
+
+    def add_scores(self, rows: DataFrame) -> DataFrame:
+        for k, model in enumerate(self.fitted):
+            rows = score(model, rows).withColumnRenamed("score", f"_score_{k}").drop("prediction")
+        names = [f"_score_{k}" for k in range(len(self.fitted))]
+        return rows.withColumn("scores", F.array(*names)).drop(*names)
+
+    def at(self, position: int):
+        return self.fitted[position]
+
+
+#: Fits that give a whole grid at once, by the fit of one point.
+WHOLE = {fit_tree: tree_grid, fit_forest: forest_grid, fit_logistic: logistic_grid}
+
+
 def score(model, rows: DataFrame) -> DataFrame:
     """Add ``score`` (probability of coverage) and ``prediction``."""
+    if hasattr(model, "add_scores"):
+        scored = model.add_scores(rows).withColumn("score", F.get("scores", F.lit(0))).drop("scores")
+        return scored.withColumn("prediction", (F.col("score") > 0.5).cast("int"))
     scored = model.transform(rows)
     return scored.withColumns(
         {
@@ -115,38 +157,39 @@ def score(model, rows: DataFrame) -> DataFrame:
     ).drop("rawPrediction", "probability", "_prediction")
 
 
-def tune(prepared: Prepared, grid: list, fit, fallback: int = 0) -> tuple[object, DataFrame]:
-    """Fit every grid point on the training weeks, score all on the validation weeks.
+def tune(prepared: Prepared, grid: list, fit, fallback: int = 0, whole: bool = True) -> tuple[object, DataFrame]:
+    """Fit a grid on the training weeks, score all points on the validation weeks in one pass.
 
-    Returns the fitted model of the best point and the table of validation scores
+    Where the learner allows it, one fit gives the whole grid; ``whole=False`` fits every point
+    on its own. Returns the model of the best point and the table of validation scores
     (grid_pos, params, f1, roc_auc). The first best point wins; where every F1 is 0
     the point ``fallback`` stays.
     """
-    train, val = dealt(prepared.part("train")).cache(), prepared.part("val").cache()
+    train = dealt(prepared.part("train")).cache()
     try:
-        fitted, scored = [], None
-        for position, params in enumerate(grid):
-            model = fit(train, *(params if isinstance(params, tuple) else (params,)))
-            fitted.append(model)
-            part = score(model, val).select(
-                F.lit(position).alias("grid_pos"), F.lit(str(params)).alias("params"), LABEL, "score", "prediction"
-            )
-            scored = part if scored is None else scored.unionByName(part)
-        scored = cut_lineage(scored, "grid")
+        if whole and fit in WHOLE:
+            fitted = WHOLE[fit](train, grid)
+        else:
+            fitted = Separate([fit(train, *(params if isinstance(params, tuple) else (params,))) for params in grid])
     finally:
         train.unpersist()
-        val.unpersist()
+    points = fitted.add_scores(prepared.part("val")).select(F.posexplode("scores").alias("grid_pos", "score"), LABEL)
+    named = F.element_at(F.array(*[F.lit(str(params)) for params in grid]), F.col("grid_pos") + 1)
+    scored = points.select("grid_pos", named.alias("params"), LABEL, "score", (F.col("score") > 0.5).cast("int").alias("prediction"))
+    scored = cut_lineage(scored, "grid")
     keys = ["grid_pos", "params"]
     table = evaluate.f1_score(scored, keys).join(
         evaluate.ranking_areas(scored, keys).select(*keys, "roc_auc", "average_precision"), keys
     )
     best = evaluate.grid_select(scored, "grid_pos").first()
-    return fitted[best["grid_pos"] if best else fallback], table
+    return fitted.at(best["grid_pos"] if best else fallback), table
 
 
 def importance_table(spark: SparkSession, model, features: list[str], name: str) -> DataFrame:
     """Feature weights of a fitted model: gini importances or signed coefficients."""
-    if hasattr(model, "featureImportances"):
+    if hasattr(model, "weights"):
+        values = model.weights()
+    elif hasattr(model, "featureImportances"):
         values = model.featureImportances.toArray()
     else:
         values = model.coefficients.toArray()
