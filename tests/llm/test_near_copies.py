@@ -109,3 +109,55 @@ def test_components_of_a_long_path(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 102), (100, 102)]
     found = N.components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r["id"]: r["component"] for r in found} == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 102: 100}
+
+
+def pattern(m, own, seed=3):
+    """m texts of one pattern, each with ``own`` of its 200 words replaced: similarities a little below 0.8."""
+    rng = random.Random(seed)
+    base = [f"base{k}" for k in range(200)]
+    out = []
+    for _ in range(m):
+        words = list(base)
+        for k in rng.sample(range(200), own):
+            words[k] = f"own{rng.randrange(10**6)}"
+        out.append(" ".join(words))
+    return list(enumerate(out))
+
+
+def candidates(spark, rows, monkeypatch):
+    seen = []
+    confirm = N._Join.confirm
+    monkeypatch.setattr(N._Join, "confirm", lambda self, pairs: seen.append(pairs.distinct().count()) or confirm(self, pairs))
+    found = run(spark, rows)
+    monkeypatch.undo()
+    return sum(seen), found
+
+
+def test_candidates_of_a_pattern_grow_with_its_length(spark, monkeypatch):
+    counts = []
+    for m in (150, 600):
+        n, found = candidates(spark, pattern(m, 9), monkeypatch)
+        assert all(kept for _, _, kept in found.values())  # no pair is linked
+        counts.append(n)
+    assert counts[1] < 6 * counts[0] and counts[1] < 60 * 600
+
+
+def test_links_within_a_crowd_are_found(spark, monkeypatch):
+    """Some texts of a pattern have near-copies of their own; with a crowd of four they are compared within tasks."""
+    monkeypatch.setattr(N, "CROWD", 4)
+    rows = pattern(60, 7)
+    rng = random.Random(8)
+    for k in range(0, 60, 3):
+        words = rows[k][1].split()
+        for _ in range(6):
+            words[rng.randrange(200)] = f"edit{rng.randrange(10**6)}"
+        rows.append((1000 + k, " ".join(words)))
+    assert run(spark, rows) == plain(rows)
+
+
+def test_rows_of_one_id_are_judged_by_their_text(spark):
+    x, y = " ".join(f"x{k}" for k in range(40)), " ".join(f"y{k}" for k in range(40))
+    df = spark.createDataFrame([(3, x), (5, x), (5, y), (5, None)], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["text"] or "") for r in N.drop_copies(df).collect()) == [(3, x), (5, ""), (5, y)]
+    found = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in N.near_copies(df).collect())
+    assert found == [(3, 3, True), (5, 3, False), (5, 5, True), (5, 5, True)]

@@ -7,20 +7,25 @@ high probability, others hardly ever. Trees are independent; ``TREES`` of them l
 at the threshold out with a probability below one in a million.
 
 In a node all documents are first compared with its leader, the smallest id. The links found
-this way in all nodes give components, and in each node only documents outside the leader's
+this way in all nodes give components, and in each small node only documents outside the leader's
 component are then compared, with all documents of other components there. So a group of
-near-copies costs its length and not its square. A node where that would still be too many
-comparisons is branched on.
+near-copies costs its length and not its square.
+
+Texts of one pattern that resemble each other a little less than the threshold would still be
+candidates in all their pairs. So a node of more than ``CROWD`` documents is compared within one
+task, which gets the token numbers of its documents: each outsider is intersected with all others
+at once, and only pairs that reach the threshold leave the task. Nodes of too many pairs are
+branched on first, so a task's node has a size bound.
 
 Equal sets are one vertex from the start. Pairs must first agree in size and in a 128-bit
 sketch (a pair at the threshold fails that with a probability of about 10 ** -8), then links
-are confirmed on the full sets of words. Components are found by spreading the smallest id
+are confirmed on the full sets of words. Components are found by spreading the smallest vertex
 along the links with pointer jumping. Nothing is collected on the driver.
 
 Defined cases: a null or empty text has no shingle and is linked with nothing; a text with
-fewer words than a shingle has its word sequence as the only shingle; rows with one id are
-one document; a null id has a null component and is kept; an empty table gives an empty
-result; further columns are ignored. Texts are read whole.
+fewer words than a shingle has its word sequence as the only shingle; rows with one id and
+different texts are judged by their own text each; a null id has a null component and is kept;
+an empty table gives an empty result; further columns are ignored. Texts are read whole.
 """
 
 from __future__ import annotations
@@ -36,17 +41,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 from weeksignal.session import cut_lineage
 
 TREES, DEPTH, MAX_DEPTH = 28, 5, 12
-#: A node is branched on if more comparisons of sketches than this would be left in it.
+#: A node is branched on if more comparisons than this would be left in it.
 NODE_PAIRS = 1 << 20
+#: A node of more documents is compared within a task, if their tokens (4 bytes each) are no more than this.
+CROWD, CROWD_TOKENS = 16, 16_000_000
 #: Of 128 bits, so many may differ; at the threshold of 0.8 the mean is 13.
 MOST_DIFFERENT = 34
 #: Up to so many ids are broadcast (8 bytes each), more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
 
-_SIGNS = "doc_id long, n_shingles long, digest binary, s1 long, s2 long, keys array<long>"
+_SIGNS = "doc_id long, version long, n_shingles long, digest binary, s1 long, s2 long, keys array<long>"
 _ROW = "node long, tree int, id long, n long, s1 long, s2 long"
 _SIGNS_ARROW = pa.schema([
-    ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("s1", pa.int64()), ("s2", pa.int64()),
+    ("doc_id", pa.int64()), ("version", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("s1", pa.int64()), ("s2", pa.int64()),
     ("keys", pa.list_(pa.int64())),
 ])
 _ROW_ARROW = pa.schema([
@@ -142,15 +149,15 @@ def _sign(width: int):
             for at in range(0, len(batch), 1000):
                 rows = []
                 part = batch.slice(at, 1000)
-                for doc_id, text in zip(part.column(0), part.column(1).cast(pa.large_binary()), strict=True):
+                for doc_id, version, text in zip(part.column(0), part.column(1), part.column(2).cast(pa.large_binary()), strict=True):
                     values = tokens(words_of(text.as_py() or b""), width)
                     if len(values):
                         keys, bits = paths(values)
                         digest = hashlib.blake2b(values.tobytes(), digest_size=16).digest()
                         s1, s2 = (int(np.int64(np.sum(bits[k : k + 64] * weights, dtype=np.uint64).astype(np.int64))) for k in (0, 64))
-                        rows.append((doc_id.as_py(), len(values), digest, s1, s2, keys.astype(np.int64)))
+                        rows.append((doc_id.as_py(), version.as_py(), len(values), digest, s1, s2, keys.astype(np.int64)))
                     else:
-                        rows.append((doc_id.as_py(), 0, None, 0, 0, None))
+                        rows.append((doc_id.as_py(), version.as_py(), 0, None, 0, 0, None))
                 columns = list(zip(*rows, strict=True))
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _SIGNS_ARROW, strict=True)], _SIGNS_ARROW)
 
@@ -174,6 +181,46 @@ def _branch(width: int, depth: int):
     return run
 
 
+def _tokens(width: int):
+    """Rows id, text to id and the sorted halves of token numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(len(batch)):
+                values = np.unique(tokens(words_of(batch.column(1)[row].as_py().encode()), width).astype(np.uint32).view(np.int32))
+                yield pa.record_batch([pa.array([batch.column(0)[row].as_py()], pa.int64()), pa.array([values], pa.list_(pa.int32()))], ["id", "tokens"])
+
+    return run
+
+
+def _crowd(least: int, of: int):
+    """A node (id, n, part, above, tokens) to its pairs of different parts that reach the threshold.
+
+    Halves of token numbers may agree by chance, which makes an intersection larger and never smaller.
+    """
+
+    def run(node: pa.Table) -> pa.Table:
+        ids, n = node["id"].to_numpy(), node["n"].to_numpy()
+        part, apart = node["part"].to_numpy(), node["part"].to_numpy() != node["above"].to_numpy()
+        lists = node["tokens"].combine_chunks()
+        ends = np.cumsum(np.diff(lists.offsets.to_numpy()))
+        _, flat = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        starts, mark = np.concatenate(([0], ends[:-1])), np.zeros(flat.max() + 1, np.int32)
+        first, second = [], []
+        for x in np.flatnonzero(apart):
+            own = flat[starts[x] : ends[x]]
+            mark[own] = 1
+            both = np.add.reduceat(mark[flat], starts)
+            mark[own] = 0
+            near = np.flatnonzero((of * both >= least * (n[x] + n - both)) & (part != part[x]))
+            first.append(np.full(len(near), ids[x]))
+            second.append(ids[near])
+        a, b = np.concatenate(first), np.concatenate(second)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return run
+
+
 def _confirm(width: int, least: int, of: int):
     """Rows a, b with their texts to those with of * intersection >= least * union."""
 
@@ -208,14 +255,16 @@ def _chosen(df: DataFrame, keys: DataFrame, key: str, how: str = "left_semi") ->
 
 
 class _Join:
-    """One similarity join: its texts, its sets (id, n, s1, s2) and its rule."""
+    """One similarity join: its texts, its sets (id, doc_id, version, n, s1, s2) and its rule."""
 
     def __init__(self, docs: DataFrame, sets: DataFrame, width: int, least: int, of: int):
         self.docs, self.sets, self.width, self.least, self.of = docs, sets, width, least, of
 
     def texts(self, ids: DataFrame) -> DataFrame:
         """One text for each id of a one-column table."""
-        found = _chosen(self.docs.withColumnRenamed("doc_id", "id"), ids, "id")
+        wanted = cut_lineage(_chosen(self.sets.select("id", "doc_id", "version"), ids, "id"), "near-wanted")
+        few = wanted.count() <= BROADCAST_IDS
+        found = self.docs.join(F.broadcast(wanted) if few else wanted, ["doc_id", "version"])
         return cut_lineage(found.groupBy("id").agg(F.max("text").alias("text")), "near-texts")
 
     def confirm(self, pairs: DataFrame) -> DataFrame:
@@ -246,20 +295,28 @@ class _Join:
             "node", "tree", "id", "n", "s1", "s2", "c", F.coalesce("component", "id").alias("part"), F.coalesce("above", "leader").alias("above")
         )
         marked = cut_lineage(marked, "near-marked")
-        apart = marked.where("part <> above")
-        counts = apart.groupBy("node").agg((F.count(F.lit(1)) * F.first("c")).alias("left"))
-        counts = cut_lineage(counts, "near-counts")
+        apart = F.col("part") != F.col("above")
+        counts = marked.groupBy("node").agg(
+            F.first("c").alias("c"), (F.count_if(apart) * F.first("c")).alias("left"), F.sum("n").alias("tokens")
+        )
         ends = depth >= MAX_DEPTH
-        now = counts if ends else counts.where(F.col("left") <= NODE_PAIRS)
-        x, y = apart.join(now.select("node"), "node", "left_semi").alias("x"), marked.alias("y")
+        kind = F.when(F.lit(not ends) & (F.col("left") > NODE_PAIRS), "below")
+        kind = kind.when((F.col("c") > CROWD) & (F.col("left") <= NODE_PAIRS) & (F.col("tokens") <= CROWD_TOKENS), "crowd").otherwise("few")
+        counts = cut_lineage(counts.where("left > 0").select("node", kind.alias("kind")), "near-counts")
+        of_kind = lambda name: marked.join(counts.where(F.col("kind") == name).select("node"), "node", "left_semi")
+
+        here = of_kind("few")
+        x, y = here.where(apart).alias("x"), here.alias("y")
         across = (F.col("x.node") == F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & _fits("x", "y", self.least, self.of)
         pairs = x.join(y, across).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        links.append(self.confirm(pairs))
-        later = counts.where(F.col("left") > NODE_PAIRS)
+        crowd = cut_lineage(of_kind("crowd").select("node", "id", "n", "part", "above"), "near-crowd")
+        numbers = self.texts(cut_lineage(crowd.select("id").distinct(), "near-ids")).mapInArrow(_tokens(self.width), "id long, tokens array<int>")
+        within = crowd.join(cut_lineage(numbers, "near-tokens"), "id").groupBy("node").applyInArrow(_crowd(self.least, self.of), "a long, b long")
+        links.append(self.confirm(pairs.unionByName(within)))
+        later = of_kind("below")
         if ends or later.isEmpty():
             return links
-        places = marked.join(later.select("node"), "node", "left_semi").groupBy("id", "n", "s1", "s2")
-        places = places.agg(F.collect_set(F.struct("node", "tree")).alias("places"))
+        places = later.groupBy("id", "n", "s1", "s2").agg(F.collect_set(F.struct("node", "tree")).alias("places"))
         texts = self.texts(cut_lineage(places.select("id").distinct(), "near-ids"))
         below = texts.join(places, "id").select("id", "text", "n", "s1", "s2", "places")
         below = cut_lineage(below.mapInArrow(_branch(self.width, depth), _ROW), "near-below")
@@ -299,27 +356,43 @@ def near_copies(
     Sets are linked if ``of`` * intersection >= ``least`` * union. The trees are laid out for
     thresholds of 0.8 and more.
     """
+    judged = _judged(docs, id_col, text, width, least, of)
+    out = judged.select("doc_id", "n_shingles", "component_id")
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _judged(docs: DataFrame, id_col: str, text: str, width: int = 2, least: int = 80, of: int = 100) -> DataFrame:
+    """doc_id, version (a hash of the text), n_shingles and component_id of each row."""
     if 10 * least < 8 * of:
         raise ValueError("the number of trees is laid out for a similarity of 0.8 or more")
-    slim = docs.select(docs[f"`{id_col}`"].cast("long").alias("doc_id"), docs[f"`{text}`"].alias("text"))
+    doc_id, content = docs[f"`{id_col}`"].cast("long"), docs[f"`{text}`"]
+    slim = docs.select(doc_id.alias("doc_id"), F.xxhash64(content).alias("version"), content.alias("text"))
     signs = cut_lineage(slim.mapInArrow(_sign(width), _SIGNS), "near-signs")
     one = ["s1", "s2", "keys"]
     sets = signs.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(
-        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), *[F.first(c).alias(c) for c in one]
+        F.min(F.struct("doc_id", "version")).alias("row"), F.first("n_shingles").alias("n"), *[F.first(c).alias(c) for c in one]
     )
-    sets = cut_lineage(sets, "near-sets")
+    # the numbers of the sets are written with them, so they stay
+    sets = cut_lineage(sets.select(F.monotonically_increasing_id().alias("id"), "digest", "row.*", "n", *one), "near-sets")
     rows = sets.select(F.posexplode("keys").alias("place", "node"), "id", "n", "s1", "s2")
     rows = rows.select("node", (F.col("place") / 2).cast("int").alias("tree"), "id", "n", "s1", "s2")
     links = _Join(slim, sets, width, least, of).descend(rows, DEPTH, [])
     labels = components(_all(links))
-    named = sets.select("digest", "id").join(labels, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
-    out = signs.join(named, "digest", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    named = sets.select("digest", "id", F.col("doc_id").alias("own")).join(labels, "id", "left")
+    named = cut_lineage(named.select("digest", "own", F.coalesce("component", "id").alias("part")), "near-named")
+    smallest = named.groupBy("part").agg(F.min("own").alias("component_id"))
+    out = signs.join(named.join(smallest, "part").select("digest", "component_id"), "digest", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return out.select("doc_id", "version", "n_shingles", component.alias("component_id"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **rule) -> DataFrame:
-    """One document of each component, with the columns it came with; rows without an id stay."""
-    gone = near_copies(docs, id_col, text, **rule).where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct()
-    return _chosen(docs, cut_lineage(gone, "near-gone"), id_col, "left_anti")
+    """One document of each component, with the columns it came with; rows without an id stay.
+
+    A row goes by its id and text, so another text under the same id is judged on its own.
+    """
+    judged = _judged(docs, id_col, text, **rule).where("doc_id <> component_id")
+    gone = cut_lineage(judged.select(F.col("doc_id").alias("_gone_id"), F.col("version").alias("_gone_version")).distinct(), "near-gone")
+    few = gone.count() <= BROADCAST_IDS
+    same = (docs[f"`{id_col}`"].cast("long") == gone["_gone_id"]) & (F.xxhash64(docs[f"`{text}`"]) == gone["_gone_version"])
+    return docs.join(F.broadcast(gone) if few else gone, same, "left_anti")
