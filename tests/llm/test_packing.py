@@ -22,6 +22,12 @@ def test_ids_are_those_of_the_tokenizer():
         assert encoder.encode(text) == TOKENIZER.encode(text, add_special_tokens=False).ids, text
 
 
+def test_long_runs_are_encoded_whole():
+    encoder = packing.Encoder(open(RANKS, "rb").read())
+    for text in [" " * 1_000_000 + "word", "\n" * 1_000_000, "a" + " \n" * 4000 + "<|endoftext|>" + "\t" * 9000 + "é", "a" * 300_000, "!" * 300_000, " " * 4095 + "b"]:
+        assert encoder.encode(text) == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
 def check(rows, texts):
     ids = {k: TOKENIZER.encode(t or "", add_special_tokens=False).ids + [0] for k, t in texts}
     pieces, sequences = {}, {}

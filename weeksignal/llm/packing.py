@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 import uuid
 import zlib
 from bisect import bisect_right, insort
@@ -46,6 +47,8 @@ _SPECIAL = "<|endoftext|>"
 _SPECIAL_ID = 50256
 #: The splitting rule that belongs to this vocabulary (a fixed value).
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space as that rule means it.
+_LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 
 RESULT = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -68,12 +71,23 @@ class Encoder:
     def encode(self, text: str) -> list[int]:
         """The special string is its own id, as in the tokenizer's plain use."""
         first, *others = text.split(_SPECIAL)
-        ids = self.plain.encode_ordinary(first)
+        ids = self._ordinary(first)
         for part in others:
             ids.append(_SPECIAL_ID)
-            ids += self.plain.encode_ordinary(part)
+            ids += self._ordinary(part)
         return ids
 
+    def _ordinary(self, text: str) -> list[int]:
+        """A long run of white space is one piece by the splitting rule, without its last character if
+        something follows; it goes past the rule, whose search is too deep for such runs."""
+        ids, at = [], 0
+        for run in _LONG_SPACE.finditer(text):
+            end = run.end() - (run.end() < len(text))
+            ids += self.plain.encode_ordinary(text[at : run.start()])
+            ids += self.plain._encode_single_piece(text[run.start() : end])
+            at = end
+        return ids + self.plain.encode_ordinary(text[at:])
+
 
 class Piece:
     """Ids ``start`` to ``start + len(ids)`` of a document."""
