@@ -52,8 +52,13 @@ def test_shards_are_near_equal_and_slots_gapless(spark):
     assert all(sorted(v) == list(range(len(v))) for v in slots.values())
 
 
-def test_repeated_rows_and_empty_tables(spark):
-    df = spark.createDataFrame([(1, "same")] * 30 + [(2, "other")], "doc_id long, text string")
-    rows = sharding.shard(df, 4).collect()
-    assert len(rows) == 31 and len({r["shard"] for r in rows if r["doc_id"] == 1}) == 1
+def test_repeated_rows_are_spread_and_empty_tables(spark):
+    df = spark.createDataFrame([(1, "same text")] * 300 + [(k, f"own text {k}") for k in range(2, 302)] + [(None, "same text")] * 50, "doc_id long, text string")
+    rows = sharding.shard(df, 10).collect()
+    sizes, slots = {}, {}
+    for r in rows:
+        sizes[r["shard"]] = sizes.get(r["shard"], 0) + r["size"]
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert len(rows) == 650 and set(sizes) == set(range(10)) and max(sizes.values()) - min(sizes.values()) <= 60
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
     assert sharding.shard(df.limit(0), 4).count() == 0

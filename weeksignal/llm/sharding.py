@@ -1,6 +1,6 @@
 """Shards of near equal bytes by histogram sort.
 
-Documents are ordered by (digest of the text, id), so equal texts stand together. Exact
+Documents are ordered by (digest of the text, id, number of the row), so equal texts stand together. Exact
 bytes and rows below candidate boundaries are counted across all partitions; only the
 intervals that hold a shard boundary, or too many rows for one task, are probed again
 with finer boundaries. When every boundary has met a single key, the rows are exchanged
@@ -9,9 +9,10 @@ all keys of an interval share, so a text that fills a third of the table costs o
 
 Only histograms reach the driver: at most ``FIRST`` + ``TOP_SHARE`` x 256 intervals a level.
 
-Defined cases: a null text has no bytes, a null id sorts first; rows equal in text and id
-share a key, are never separated by a boundary and are numbered in no fixed order, as
-they are alike; an empty table gives an empty result; further columns are ignored.
+Defined cases: a null text has no bytes, a null id sorts first; rows equal in text and id are
+told apart by a number of their own, so boundaries fall between them like between others, and which
+of them lies where has no meaning, as they are alike; an empty table gives an empty result; further
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,18 +29,20 @@ OVERHEAD = 16
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, size, text_crc32 and the sort key: 16 hexadecimal digits of the text's digest, then the id.
+    """doc_id, size, text_crc32 and the sort key: 16 hexadecimal digits of the text's digest, the id and the row's number each.
 
-    The sign bit of the id is flipped, so negative ids sort before positive ones.
+    The sign bit of the id is flipped, so negative ids sort before positive ones. The number is
+    the row's place in this read, so the result must be written before it is used twice.
     """
     t = F.coalesce(docs[f"`{text}`"], F.lit(""))
     flipped = docs[f"`{id_col}`"].cast("long").bitwiseXOR(F.lit(-(2**63)))
-    tail = F.coalesce(F.lower(F.lpad(F.hex(flipped), 16, "0")), F.lit(""))
+    tail = F.coalesce(F.lower(F.lpad(F.hex(flipped), 16, "0")), F.lit(" " * 16))
+    number = F.lower(F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0"))
     return docs.select(
         docs[f"`{id_col}`"].alias("doc_id"),
         (F.octet_length(t) + OVERHEAD).cast("long").alias("size"),
         F.crc32(F.encode(t, "UTF-8")).alias("text_crc32"),
-        F.concat(F.substring(F.md5(F.encode(t, "UTF-8")), 1, 16), tail).alias("key"),
+        F.concat(F.substring(F.md5(F.encode(t, "UTF-8")), 1, 16), tail, number).alias("key"),
     )
 
 

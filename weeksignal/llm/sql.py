@@ -136,6 +136,17 @@ def crc32(text: str) -> str:
     return f"xor(list_reduce({halves}, lambda c, x: xor(({table}::BIGINT[])[(xor(c, x) & 15) + 1], c >> 4), 4294967295::BIGINT), 4294967295::BIGINT)"
 
 
+OP7 = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, substr(md5(coalesce(text, '')), 1, 16) AS k, (octet_length(encode(coalesce(text, ''))) + 16)::BIGINT AS size
+  FROM documents),
+c AS (SELECT t, {crc32("t")} AS crc FROM (SELECT DISTINCT t FROM d)),
+s AS (
+  SELECT *, (sum(size) OVER (ORDER BY k, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) - size) * 40 // sum(size) OVER () AS shard FROM d)
+SELECT doc_id, size, crc AS text_crc32, 'bytes' AS law, shard::INT AS shard,
+       (row_number() OVER (PARTITION BY shard ORDER BY k, doc_id NULLS FIRST) - 1)::BIGINT AS slot, NULL::INT AS grown_shard
+FROM s JOIN c USING (t)"""
+
 OP12 = f"""
 WITH RECURSIVE t AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
@@ -194,6 +205,7 @@ path AS (
 SELECT f.word, form, stop AS root, n, n_near, form_n FROM f JOIN path p ON p.word = f.word AND p.next IS NULL"""
 
 SQL = {
+    "op7_sharding": OP7,
     "op11_exact_dedup": OP11,
     "op12_prefix_trie": OP12,
     "op13_spelling_variants": OP13,
