@@ -111,6 +111,14 @@ def test_components_of_a_long_path(spark):
     assert {r["id"]: r["component"] for r in found} == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 102: 100}
 
 
+def test_components_take_in_further_links(spark):
+    frame = lambda rows, names: spark.createDataFrame(rows, names)
+    labels = N.components(frame([(1, 2), (2, 3), (10, 11)], "a long, b long"))
+    found = {r["id"]: r["component"] for r in N.joined(labels, frame([(3, 11), (20, 21), (1, 3)], "a long, b long")).collect()}
+    assert found == {1: 1, 2: 1, 3: 1, 10: 1, 11: 1, 20: 20, 21: 20}
+    assert N.joined(labels, frame([(1, 3)], "a long, b long")) is labels
+
+
 def pattern(m, own, seed=3):
     """m texts of one pattern, each with ``own`` of its 200 words replaced: similarities a little below 0.8."""
     rng = random.Random(seed)

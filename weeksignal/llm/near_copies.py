@@ -277,8 +277,8 @@ class _Join:
         both = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
         return cut_lineage(both.mapInArrow(_confirm(self.width, self.least, self.of), "a long, b long"), "near-links")
 
-    def descend(self, rows: DataFrame, depth: int, earlier: list[DataFrame]) -> list[DataFrame]:
-        """All links of pairs that meet in these nodes or below, behind the links known before."""
+    def descend(self, rows: DataFrame, depth: int, labels: DataFrame | None = None) -> DataFrame:
+        """id and component of all that is linked, known before or by pairs that meet in these nodes or below."""
         nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("leader")).where("c > 1")
         met = cut_lineage(rows.join(cut_lineage(nodes, "near-nodes"), "node"), "near-rows")
 
@@ -286,9 +286,7 @@ class _Join:
         star = met.where("id <> leader").select("leader", "id").distinct()
         star = star.join(facts, "id").alias("x").join(facts.withColumnRenamed("id", "other").alias("y"), F.col("leader") == F.col("other"))
         star = star.where(_fits("x", "y", self.least, self.of)).select(F.col("leader").alias("a"), F.col("x.id").alias("b"))
-        links = [*earlier, self.confirm(star)]
-
-        labels = components(_all(links))
+        labels = components(self.confirm(star)) if labels is None else joined(labels, self.confirm(star))
         of_leader = labels.select(F.col("id").alias("leader"), F.col("component").alias("above"))
         marked = met.join(labels, "id", "left").join(of_leader, "leader", "left")
         marked = marked.select(
@@ -312,22 +310,15 @@ class _Join:
         crowd = cut_lineage(of_kind("crowd").select("node", "id", "n", "part", "above"), "near-crowd")
         numbers = self.texts(cut_lineage(crowd.select("id").distinct(), "near-ids")).mapInArrow(_tokens(self.width), "id long, tokens array<int>")
         within = crowd.join(cut_lineage(numbers, "near-tokens"), "id").groupBy("node").applyInArrow(_crowd(self.least, self.of), "a long, b long")
-        links.append(self.confirm(pairs.unionByName(within)))
+        labels = joined(labels, self.confirm(pairs.unionByName(within)))
         later = of_kind("below")
         if ends or later.isEmpty():
-            return links
+            return labels
         places = later.groupBy("id", "n", "s1", "s2").agg(F.collect_set(F.struct("node", "tree")).alias("places"))
         texts = self.texts(cut_lineage(places.select("id").distinct(), "near-ids"))
         below = texts.join(places, "id").select("id", "text", "n", "s1", "s2", "places")
         below = cut_lineage(below.mapInArrow(_branch(self.width, depth), _ROW), "near-below")
-        return self.descend(below, depth + 1, links)
-
-
-def _all(parts: list[DataFrame]) -> DataFrame:
-    found = parts[0]
-    for more in parts[1:]:
-        found = found.unionByName(more)
-    return found
+        return self.descend(below, depth + 1, labels)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -348,6 +339,21 @@ def components(links: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("c", "component")
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (id, component) after further links; only links between components go through the rounds."""
+    of = lambda end: labels.select(F.col("id").alias(end), F.col("component").alias(f"{end}_part"))
+    moved = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    moved = moved.select(F.coalesce("a_part", "a").alias("a"), F.coalesce("b_part", "b").alias("b")).where("a <> b").distinct()
+    moved = cut_lineage(moved, "near-moved")
+    if moved.isEmpty():
+        return labels
+    more = components(moved)
+    single = more.select("id", F.col("id").alias("component")).join(labels.select("id"), "id", "left_anti")
+    above = more.select(F.col("id").alias("component"), F.col("component").alias("top"))
+    found = labels.unionByName(single).join(above, "component", "left")
+    return cut_lineage(found.select("id", F.coalesce("top", "component").alias("component")), "near-labels")
+
+
 def near_copies(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 2, least: int = 80, of: int = 100
 ) -> DataFrame:
@@ -376,8 +382,7 @@ def _judged(docs: DataFrame, id_col: str, text: str, width: int = 2, least: int
     sets = cut_lineage(sets.select(F.monotonically_increasing_id().alias("id"), "digest", "row.*", "n", *one), "near-sets")
     rows = sets.select(F.posexplode("keys").alias("place", "node"), "id", "n", "s1", "s2")
     rows = rows.select("node", (F.col("place") / 2).cast("int").alias("tree"), "id", "n", "s1", "s2")
-    links = _Join(slim, sets, width, least, of).descend(rows, DEPTH, [])
-    labels = components(_all(links))
+    labels = _Join(slim, sets, width, least, of).descend(rows, DEPTH)
     named = sets.select("digest", "id", F.col("doc_id").alias("own")).join(labels, "id", "left")
     named = cut_lineage(named.select("digest", "own", F.coalesce("component", "id").alias("part")), "near-named")
     smallest = named.groupBy("part").agg(F.min("own").alias("component_id"))
