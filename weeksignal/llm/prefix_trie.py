@@ -15,8 +15,8 @@ member, and what a sequence owns is the end of its path. So a subtree's members
 texts are both sums, over the sequences through the node, of the bytes from some depth on.
 
 Work and memory: one conversation, and the list of those with one rebuilt sequence, is a stream
-within a task, since its digest goes over the whole in order; both hold numbers only (40 bytes a
-turn, 24 a conversation) and are sorted with spilling. The driver gets nothing.
+within a task, since its digest goes over the whole in order; both hold numbers only (64 bytes a
+turn, 40 a conversation) and are sorted with spilling. The driver gets nothing.
 
 Defined cases: null roles and texts are empty; a null turn comes first; turns with equal numbers
 are ordered by the digest of role and text, and equal rows are repeated turns; rows with a null
