@@ -4,7 +4,10 @@ A fixed public vocabulary gives the pieces; per language each piece has a probab
 word's probability is the sum over all its segmentations into pieces, by the forward
 algorithm; a text's is the product over its words. Training counts every word of every
 labelled document per language, then two rounds of expectation and maximisation turn the
-word counts into piece probabilities by the forward and backward sums.
+word counts into piece probabilities by the forward and backward sums. Words are maximal
+runs of letters and are learned and scored whole, however long they are: long words, and
+words too improbable for plain numbers, are summed in logarithms with memory that grows
+with one word only.
 
 Defined cases: a text that is null, empty or without a letter is ``und`` with score 0;
 a null label is not learned from; without any learned label everything is ``und``; ties
@@ -14,8 +17,10 @@ an empty table gives an empty result; further columns are ignored. Texts are rea
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,8 +40,12 @@ SMOOTHING = 0.01
 ROUNDS = 2
 #: A worker keeps the scores of so many words; beyond that it begins anew.
 KEPT_WORDS = 400_000
-#: Texts that are scored together, and letters of a word that are learned as one.
-TEXTS, LEARN_LENGTH = 256, 32
+#: Texts that are scored together.
+TEXTS = 256
+#: Words of more letters are summed one by one; a worker keeps at most so many letters waiting while it learns.
+LONG, WAITING = 64, 4_000_000
+#: Below this the sum of a word's segmentations is taken again in logarithms.
+TINY = 1e-250
 
 _WORD = re.compile(r"[^\W\d_]+")
 _LETTERS = bytes(b | 32 if chr(b).isalpha() and b < 128 else 32 for b in range(256))
@@ -79,6 +88,8 @@ class Model:
 
     def log_words(self, words: list[str]) -> np.ndarray:
         """Log of the sum over all segmentations, for words of one length and each language."""
+        if len(words[0]) > LONG:
+            return np.stack([self._log_long(w) for w in words])
         size = len(words[0]) + 2
         sums, scale = np.zeros((size, len(words), len(self.languages))), np.zeros((len(words), 1))
         sums[0] = 1.0
@@ -91,8 +102,30 @@ class Model:
                 scale += np.log(top)
         return np.log(sums[-1]) + scale
 
+    def ending(self, marked: str, end: int) -> Iterator[tuple[int, int]]:
+        """Size and number of the pieces of one word that end here."""
+        get = self.pieces.get
+        for size in range(1, min(end, self.longest) + 1):
+            piece = get(marked[end - size : end], len(self.pieces) if size == 1 else None)
+            if piece is not None:
+                yield size, piece
+
+    def _log_long(self, word: str) -> np.ndarray:
+        """The same for one word; only the sums within a piece's length are kept."""
+        marked, scale = START + word, np.zeros(len(self.languages))
+        recent = deque([np.ones(len(self.languages))], maxlen=self.longest)
+        for end in range(1, len(marked) + 1):
+            now = sum(recent[-size] * self.probability[piece] for size, piece in self.ending(marked, end))
+            recent.append(now)
+            if end % 8 == 0:
+                recent = deque([r / now for r in recent], maxlen=self.longest)
+                scale += np.log(now)
+        return np.log(recent[-1]) + scale
+
     def expected(self, words: list[str], weights: np.ndarray, language: int) -> np.ndarray:
         """Expected uses of each piece in words of one length, weighted: forward and backward sums."""
+        if len(words[0]) > LONG:
+            return self._expected_in_logs(words, weights, language)
         size = len(words[0]) + 2
         p, edges = self.probability[:, language], self.edges(words)
         forward, backward = np.zeros((2, size, len(words)))
@@ -101,9 +134,35 @@ class Model:
             forward[end, rows] += forward[start, rows] * p[found]
         for start, end, rows, found in reversed(edges):
             backward[start, rows] += backward[end, rows] * p[found]
-        share = weights / forward[-1]
+        # sums are at most one, so where the whole is not tiny no part that matters was lost
+        tiny = forward[-1] < TINY
+        share = np.where(tiny, 0.0, weights / np.where(tiny, 1.0, forward[-1]))
         uses = [share[rows] * forward[start, rows] * p[found] * backward[end, rows] for start, end, rows, found in edges]
-        return np.bincount(np.concatenate([e[3] for e in edges]), np.concatenate(uses), len(p))
+        out = np.bincount(np.concatenate([e[3] for e in edges]), np.concatenate(uses), len(p))
+        if tiny.any():
+            out += self._expected_in_logs([words[k] for k in np.flatnonzero(tiny)], weights[tiny], language)
+        return out
+
+    def _expected_in_logs(self, words: list[str], weights: np.ndarray, language: int) -> np.ndarray:
+        """The same in logarithms, one word after the other."""
+        logs = [math.log(x) if x > 0 else -math.inf for x in self.probability[:, language].tolist()]
+        out = np.zeros(len(logs))
+        for word, weight in zip(words, weights.tolist(), strict=True):
+            marked = START + word
+            forward, backward = [0.0], [-math.inf] * len(marked) + [0.0]
+            for end in range(1, len(marked) + 1):
+                forward.append(_log_sum([forward[end - size] + logs[piece] for size, piece in self.ending(marked, end)]))
+            for end in range(len(marked), 0, -1):
+                for size, piece in self.ending(marked, end):
+                    way = backward[end] + logs[piece]
+                    backward[end - size] = _log_sum([backward[end - size], way])
+                    out[piece] += weight * math.exp(forward[end - size] + way - forward[-1])
+        return out
+
+
+def _log_sum(values: list[float]) -> float:
+    top = max(values)
+    return top + math.log(sum(math.exp(v - top) for v in values)) if top > -math.inf else top
 
 
 def by_length(words: list[str]) -> Iterator[tuple[list[int], list[str]]]:
@@ -135,22 +194,29 @@ def _expect(shared, key: str):
         totals = np.zeros(model.probability.shape[::-1])
         number = {name: k for k, name in enumerate(model.languages)}
         waiting: dict[tuple[int, int], tuple[list[str], list[int]]] = {}
+        letters_waiting = 0
 
-        def count(lang: int, words: list[str], weights: list[int]) -> None:
-            totals[lang] += model.expected(words, np.array(weights, float), lang)
+        def count() -> None:
+            for (lang, _), (words, weights) in waiting.items():
+                totals[lang] += model.expected(words, np.array(weights, float), lang)
+            waiting.clear()
 
-        # words of one language and length wait for each other, up to a block of bounded size
+        # words of one language and length wait for each other, up to blocks of bounded size
         for batch in batches:
             for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for at in range(0, len(word), LEARN_LENGTH):
-                    part = word[at : at + LEARN_LENGTH]
-                    words, weights = waiting.setdefault((number[lang], len(part)), ([], []))
-                    words.append(part)
-                    weights.append(n)
-                    if len(words) == 4096:
-                        count(number[lang], *waiting.pop((number[lang], len(part))))
-        for (lang, _), (words, weights) in waiting.items():
-            count(lang, words, weights)
+                place = (number[lang], len(word))
+                words, weights = waiting.setdefault(place, ([], []))
+                words.append(word)
+                weights.append(n)
+                letters_waiting += len(word)
+                if len(words) == 4096:
+                    del waiting[place]
+                    letters_waiting -= 4096 * len(word)
+                    totals[number[lang]] += model.expected(words, np.array(weights, float), number[lang])
+                elif letters_waiting > WAITING:
+                    count()
+                    letters_waiting = 0
+        count()
         totals = totals.T
         pieces, langs = np.nonzero(totals)
         columns = [pa.array(langs.astype(np.int32)), pa.array(pieces.astype(np.int32)), pa.array(totals[pieces, langs])]
@@ -190,7 +256,9 @@ def letters(text: str) -> list[str]:
         return text.encode().translate(_LETTERS).decode().split()
     if not any(map(str.isalpha, text)):
         return []
-    return _WORD.findall(text.lower())
+    # what counts as a letter where words are counted for learning is one here too: not ½ or ²
+    found = _WORD.findall(text.lower())
+    return [part for word in found for part in ([word] if word.isalpha() else "".join(c if c.isalpha() else " " for c in word).split())]
 
 
 class Scorer:
