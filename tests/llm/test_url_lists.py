@@ -54,3 +54,16 @@ def test_same_day_boundaries_and_empty_tables(spark):
     assert run(spark, captures, entries) == plain(captures, entries)
     assert [n for _, n, _ in run(spark, captures, [])] == [0] * 7
     assert run(spark, [], entries) == []
+
+
+def test_clashing_columns_and_patterns_in_capitals(spark):
+    entries = spark.createDataFrame(
+        [("L", "A.org", DAY, "add", 1), ("M", "a.ORG./P/", DAY, "add", 1), ("N", "/p", DAY, "add", 1)], "list string, pattern string, day date, action string, order long"
+    )
+    captures = spark.createDataFrame(
+        [("http://a.org/P", DAY, 1, "x", 2, 3, 4, 5, 6)],
+        "url string, day date, names int, lists string, met int, `row` int, pattern int, month int, `a.b` int",
+    )
+    out = url_lists.judge(captures, entries.withColumn("names", entries["order"]))
+    assert out.columns == ["url", "day", "names", "met", "row", "pattern", "month", "a.b", "n_active", "lists"]
+    assert tuple(out.first())[2:] == (1, 2, 3, 4, 5, 6, 2, ["L", "M"])

@@ -13,7 +13,9 @@ Defined cases: a null or malformed url has no pattern and is never listed; entri
 pattern, list or day are void; of several entries of one day for a pattern the largest by
 (order, action) counts; an entry holds from its day on; repeated rows of captures are judged
 one by one; without entries nothing is listed; an empty table gives an empty result; further
-columns are ignored.
+columns stay as they are, whatever their names, but columns of the captures that are named
+``n_active`` or ``lists`` give way to the result. Patterns are read as urls are: the host in
+small letters, without empty labels or segments; one without a host is void.
 """
 
 from __future__ import annotations
@@ -45,9 +47,18 @@ def patterns(url: Column, depth: int) -> Column:
     return F.array_distinct(F.flatten(F.transform(suffixes, lambda h: F.transform(starts, lambda p: F.concat(h, p)))))
 
 
+def normal(pattern: Column) -> Column:
+    """A pattern as ``patterns`` writes it; null without a host."""
+    parts = F.split(pattern, "/")
+    labels = F.filter(F.split(F.lower(F.element_at(parts, 1)), r"\."), lambda s: s != "")
+    path = F.filter(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), lambda s: s != "")
+    return F.when(F.size(labels) > 0, F.concat_ws("/", F.concat_ws(".", labels), path))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """list, pattern, since, until (exclusive, null for ever) from list, pattern, day, action, order."""
-    valid = entries.where("list IS NOT NULL AND pattern IS NOT NULL AND day IS NOT NULL AND action IN ('add', 'remove')")
+    read = entries.select("list", normal(F.col("pattern")).alias("pattern"), "day", "action", "order")
+    valid = read.where("list IS NOT NULL AND pattern IS NOT NULL AND day IS NOT NULL AND action IN ('add', 'remove')")
     daily = valid.groupBy("list", "pattern", "day").agg(F.max(F.struct("order", "action")).alias("last"))
     following = F.expr("lead(day) OVER (PARTITION BY list, pattern ORDER BY day)")
     dated = daily.select("list", "pattern", F.col("day").alias("since"), following.alias("until"), "last.action")
@@ -75,11 +86,11 @@ def judge(captures: DataFrame, entries: DataFrame, depth: int = 1) -> DataFrame:
     same = (F.col("k.pattern") == F.col("s.pattern")) & (F.col("k.month") == F.col("s.month"))
     active = (F.col("s.since") <= F.col("k.day")) & (F.col("s.until").isNull() | (F.col("k.day") < F.col("s.until")))
     met = keys.join(spans, same & active).groupBy("k.url", "k.day").agg(
-        F.count(F.lit(1)).alias("met"), F.sort_array(F.collect_set("s.list")).alias("names")
+        F.count(F.lit(1)).alias("n_active"), F.sort_array(F.collect_set("s.list")).alias("lists")
     )
-    met = met.select(F.col("url").alias("met_url"), F.col("day").alias("met_day"), "met", "names")
-    found = captures.join(met, (captures["url"] == met["met_url"]) & (captures["day"] == met["met_day"]), "left")
+    rows = captures.select(F.struct(*[captures[f"`{c}`"] for c in captures.columns]).alias("row"))
+    same = (F.col("c.row").getField("url") == F.col("m.url")) & (F.col("c.row").getField("day") == F.col("m.day"))
+    found = rows.alias("c").join(met.alias("m"), same, "left")
+    own = [F.col("c.row").getField(c).alias(c) for c in captures.columns if c not in ("n_active", "lists")]
     none = F.array().cast("array<string>")
-    return found.select(
-        *[captures[f"`{c}`"] for c in captures.columns], F.coalesce("met", F.lit(0)).alias("n_active"), F.coalesce("names", none).alias("lists")
-    )
+    return found.select(*own, F.coalesce("m.n_active", F.lit(0)).alias("n_active"), F.coalesce("m.lists", none).alias("lists"))
