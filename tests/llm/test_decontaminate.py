@@ -3,7 +3,7 @@
 import random
 import re
 
-from pyspark.sql import functions as F
+import pytest
 
 from weeksignal.llm import decontaminate as D
 
@@ -29,7 +29,7 @@ def plain(text, items):
 def run(spark, texts, items):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    rows = docs.select("doc_id", D.verdicts(F.col("text"), bench).alias("v")).select("doc_id", "v.*").collect()
+    rows = D.judged(docs, bench).select("row.doc_id", "v.*").collect()
     return {r["doc_id"]: r for r in rows}
 
 
@@ -44,14 +44,37 @@ def cases():
 
 def test_equals_comparing_all_windows(spark, monkeypatch):
     texts, items = cases()
-    for block in (1 << 18, 60):
-        monkeypatch.setattr(D, "BLOCK_BYTES", block)
+    for size, broadcast in ((1 << 18, 0), (60, 1 << 20), (60, 0)):
+        monkeypatch.setattr(D, "AUTOMATON_BYTES", size)
+        monkeypatch.setattr(D, "BROADCAST_FOUND", broadcast)
         found = run(spark, texts, items)
         for k, text in enumerate(texts):
             row = found[k]
             assert (row["n_words"], row["n_hit"], row["item_ids"], row["contaminated"]) == plain(text, items), text
 
 
+def test_a_large_benchmark_goes_by_windows(spark, monkeypatch):
+    rng = random.Random(5)
+    items = [(k, " ".join(f"w{rng.randrange(90_000)}" for _ in range(60))) for k in range(1200)]
+    items.append((1200, " ".join(f"only{k}" for k in range(30_000))))  # an item that is too large for an automaton by itself
+    texts = [f"so {items[7][1]} and", items[1200][1][500:9000], " ".join(items[9][1].split()[:12]), None, ""]
+    monkeypatch.setattr(D, "_by_automaton", None)
+    found = run(spark, texts, items)
+    assert [found[k]["item_ids"] for k in range(5)] == [["7"], ["1200"], [], [], []]
+    assert [found[k]["n_hit"] for k in (0, 2, 3)] == [60, 0, 0] and found[0]["spans"][0]["start"] == 3
+    assert found[1]["n_hit"] > 900 and [found[k]["contaminated"] for k in range(5)] == [True, True, False, False, False]
+
+
+@pytest.mark.parametrize("size", [1 << 18, 0])
+def test_repeated_rows_and_ids(spark, monkeypatch, size):
+    monkeypatch.setattr(D, "AUTOMATON_BYTES", size)
+    docs = spark.createDataFrame([(1, "a b c", 1), (1, "a b c", 1), (None, "a b", 2), (1, "x", 3), (2, None, 4)], "doc_id long, text string, key int")
+    bench = spark.createDataFrame([(1, "B c"), (1, "B c"), (None, "x")], "item_id long, text string")
+    rows = D.judged(docs, bench).select("row.*", "v.n_hit", "v.item_ids").collect()
+    assert sorted((r["key"], r["n_hit"], r["item_ids"]) for r in rows) == [(1, 2, ["1"]), (1, 2, ["1"]), (2, 0, []), (3, 1, [""]), (4, 0, [])]
+    assert sorted(r["key"] for r in D.clean(docs, bench).collect()) == [2, 4]
+
+
 def test_spans_lie_on_the_original(spark):
     item = " ".join(f"wörd{k}" for k in range(15))
     text = f"Ünrelated; {item.replace('d', 'D').replace(' ', ' -- ')}! rest"

@@ -100,10 +100,9 @@ def op9_packing(spark, folder):
 
 
 def op10_benchmark_decontamination(spark, folder):
-    docs, items = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
-    rows = docs.select("doc_id", decontaminate.verdicts(F.col("text"), items).alias("v"))
+    rows = decontaminate.judged(_table(spark, folder, "documents").select("doc_id", "text"), _table(spark, folder, "benchmark"))
     return rows.select(
-        "doc_id", "v.n_words", "v.n_hit", F.size("v.item_ids").cast("long").alias("n_items"),
+        "row.doc_id", "v.n_words", "v.n_hit", F.size("v.item_ids").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "v.item_ids"), 256).alias("items_sha256"), "v.contaminated",
     )
 
