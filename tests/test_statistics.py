@@ -94,6 +94,14 @@ def test_normal_tail(spark):
     assert [r[0] for r in df.select(stats.normal_tail("z")).collect()] == pytest.approx([0.025, 0.5])
 
 
+def test_correlation_matrix_without_rows_and_with_shifted_columns(spark):
+    rows = spark.createDataFrame([(1e9 + k, 1e9 - k, 5.0) for k in range(50)], "a double, b double, c double")
+    got = {(r.feature_a, r.feature_b): r.r for r in stats.correlation_matrix(rows, ["a", "b", "c"]).collect()}
+    assert len(got) == 9 and got["a", "c"] is None and abs(got["a", "b"] + 1) < 1e-9 and got["b", "b"] == 1.0
+    none = stats.correlation_matrix(rows.limit(0), ["a", "b", "c"]).collect()
+    assert len(none) == 9 and all(r.r == (1.0 if r.feature_a == r.feature_b else None) for r in none)
+
+
 def test_correlation_matrix(numbers):
     rows, df = numbers
     wide = df.select("v", (F.col("v") * F.col("v")).alias("sq"), F.col("label_next2wk").alias("y"), F.lit(1.0).alias("one"))

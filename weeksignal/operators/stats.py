@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from itertools import combinations_with_replacement
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -217,24 +217,29 @@ def with_correlation_p(tests: DataFrame) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """(feature_a, feature_b, r) for every ordered pair; NULL for a constant column.
 
-    One pass for the means, one for all centred products; both are plain sums that
-    merge map-side.
+    One aggregate over one pass. Its state, count, means and co-moments of every pair, is
+    merged within the tasks first. Rows are turned into pairs of values in arrays, so that
+    one state is kept for each pair, not a generated method for all of them.
     """
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    means = wide.agg(F.struct(*[F.avg(c).alias(c) for c in columns])).scalar()
-    centred = wide.withColumn("_m", means)
-    centred = centred.select(*[(F.col(c) - F.col("_m").getField(c)).alias(c) for c in columns])
-    pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    sums = centred.agg(*[F.sum(F.col(columns[i]) * F.col(columns[j])).alias(f"s_{i}_{j}") for i, j in pairs])
-    entries = []
-    for i, j in pairs:
-        scale = F.sqrt(F.col(f"s_{i}_{i}") * F.col(f"s_{j}_{j}"))
-        r = F.lit(1.0) if i == j else F.when(scale > 0, F.col(f"s_{i}_{j}") / scale)
-        for a, b in {(i, j), (j, i)}:
-            entries.append(
-                F.struct(F.lit(columns[a]).alias("feature_a"), F.lit(columns[b]).alias("feature_b"), r.alias("r"))
-            )
-    return sums.select(F.inline(F.array(*entries)))
+    wide = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("v"))
+    pairs = list(combinations(range(len(columns)), 2))
+    if not pairs:
+        return wide.limit(1).select(F.lit(columns[0]).alias("feature_a"), F.lit(columns[0]).alias("feature_b"), F.lit(1.0).alias("r"))
+    names = F.array(*[F.struct(F.lit(columns[a]).alias("a"), F.lit(columns[b]).alias("b"), F.lit(a).alias("i"), F.lit(b).alias("j")) for a, b in pairs])
+    both = wide.select(F.inline(F.transform(names, lambda p: F.struct(p.a.alias("a"), p.b.alias("b"), F.get("v", p.i).alias("x"), F.get("v", p.j).alias("y")))))
+    found = both.groupBy("a", "b").agg(pearson(F.col("x"), F.col("y")).alias("r"))
+    # without rows every pair is still there; a row a pair of columns
+    found = df.sparkSession.range(1).select(F.inline(names)).select("a", "b").join(F.broadcast(found), ["a", "b"], "left")
+    one = F.lit(1.0)
+    last, first = F.col("b") == columns[-1], F.col("a") == columns[0]
+    ways = [
+        F.struct(F.col(x).alias("feature_a"), F.col(y).alias("feature_b"), (one if x == y else F.col("r")).alias("r"))
+        for x, y in (("a", "b"), ("b", "a"))
+    ]
+    own = F.struct(F.col("a").alias("feature_a"), F.col("a").alias("feature_b"), one.alias("r"))
+    end = F.struct(F.col("b").alias("feature_a"), F.col("b").alias("feature_b"), one.alias("r"))
+    rows = F.concat(F.array(*ways), F.when(last, F.array(own)).otherwise(F.array()), F.when(last & first, F.array(end)).otherwise(F.array()))
+    return found.select(F.inline(rows))
 
 
 def label_correlations(df: DataFrame, columns: list[str], label: str = LABEL) -> DataFrame:
