@@ -79,3 +79,14 @@ def test_rounding_is_half_even(spark):
     rows = df.select(scalars.half_even("v", 2).alias("a"), scalars.half_even("v", 4).alias("b")).collect()
     assert [r.a for r in rows] == [0.12, 0.38, 0.03]
     assert rows[2].b == 0.0312
+
+
+def test_trie_patterns_equal_the_plain_alternations(spark):
+    parts = [p.replace("\\d", "7").strip("^$") for p in text.JUNK_REGEX.split("|")] + text.SPONSOR_BRANDS
+    cases = [c for p in parts for c in (p, p.upper(), f"x{p}y", f"some {p}\n", p[:-1], p[1:])] + ["", None, "ai\n", "an ai", "flyxio"]
+    df = spark.createDataFrame([(c,) for c in cases], "phrase string")
+    low = F.lower("phrase")
+    same = df.select(
+        text.junk_match("phrase").eqNullSafe(low.rlike(text.JUNK_REGEX)).alias("junk"), text.sponsor_match("phrase").eqNullSafe(low.rlike(text.SPONSOR_REGEX)).alias("sponsor")
+    )
+    assert all(r.junk and r.sponsor for r in same.collect())

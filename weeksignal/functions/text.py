@@ -62,13 +62,45 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def trie_pattern(words: list[str]) -> str:
+    """A pattern for any of these literals, alternatives parted by their first letters.
+
+    At most places of a text only the first letter is looked at, once for all words.
+    """
+    heads: dict[str, list[str]] = {}
+    for word in words:
+        heads.setdefault(word[:1], []).append(word[1:])
+    if "" in heads:  # a word ends here, so longer ones add nothing
+        return ""
+    parts = []
+    for head, rest in sorted(heads.items()):
+        below = trie_pattern(rest)
+        parts.append(re.escape(head).replace("\\ ", " ") + (f"(?:{below})" if "|" in below else below))
+    return "|".join(parts)
+
+
+def _plain(pattern: str) -> bool:
+    return not re.search(r"[\\^$.*+?()\[{]", pattern)
+
+
+_JUNK = [part for pattern in JUNK_PATTERNS for part in pattern.split("|")]
+_WHOLE = [part[1:-1] for part in _JUNK if part.startswith("^")]
+_OTHER = [part for part in _JUNK if not _plain(part) and not part.startswith("^")]
+JUNK_SEARCH = "|".join([trie_pattern([part for part in _JUNK if _plain(part)]), *_OTHER])
+WHOLE_SEARCH = f"^(?:{'|'.join(_WHOLE)})$"
+SPONSOR_SEARCH = trie_pattern(SPONSOR_BRANDS)
+
+
 def junk_match(phrase) -> Column:
-    return F.lower(_col(phrase)).rlike(JUNK_REGEX)
+    """The junk patterns; those for whole phrases are asked for short phrases only."""
+    low = F.lower(_col(phrase))
+    short = F.char_length(low) <= max(map(len, _WHOLE)) + 2
+    return (short & low.rlike(WHOLE_SEARCH)) | low.rlike(JUNK_SEARCH)
 
 
 def sponsor_match(phrase) -> Column:
     """Substring test, so a brand inside a longer word counts as well."""
-    return F.lower(_col(phrase)).rlike(SPONSOR_REGEX)
+    return F.lower(_col(phrase)).rlike(SPONSOR_SEARCH)
 
 
 def spaced_words(phrase) -> Column:
