@@ -95,6 +95,20 @@ def test_posts_repos_papers(spark, tmp_path):
     assert [(r.published, r.url) for r in rows] == [("2024", "https://www.semanticscholar.org/paper/p"), ("2024-01-02", "https://www.semanticscholar.org/paper/r")]
 
 
+def test_broken_responses_are_set_aside(spark, tmp_path):
+    good = json.dumps({"query": "q", "hits": [{"title": "A", "created_at": "2024-01-02T00:00:00Z"}, None, {"title": "B", "created_at": "2024-01-03T00:00:00Z"}]})
+    wrong = json.dumps({"query": "q", "hits": [{"title": "C", "points": "many", "created_at": "2024-01-02T00:00:00Z"}]})
+    bodies = [good, good, good[:-3], wrong, None, " ", "{}", "no json"]
+    df = spark.createDataFrame(list(enumerate(bodies)), "page long, body string")
+    landed = payloads.land_responses(df, "body", schemas.HN_RESPONSE, str(tmp_path / "landed"), ("page",))
+    assert landed.counts == {"read": 8, "parsed": 3, "missing": 2, "broken": 3}
+    assert sorted(r.title for r in payloads.stories(landed.rows).collect()) == ["A", "A", "B", "B"]
+    aside = {r.page: (r.outcome, r.body) for r in landed.aside.collect()}
+    assert aside == {2: ("broken", bodies[2]), 3: ("broken", wrong), 4: ("missing", None), 5: ("missing", " "), 7: ("broken", "no json")}
+    empty = payloads.land_responses(df.limit(0), "body", schemas.HN_RESPONSE, str(tmp_path / "none"))
+    assert empty.counts["read"] == 0 and empty.rows.count() == 0 and empty.aside.count() == 0
+
+
 def test_atom_feed(spark, tmp_path):
     entry = "<entry><id> http://x/{d} </id><title>\n T </title><summary> S\n</summary><published>{d}T01:00:00Z</published></entry>"
     feed = '<feed xmlns="http://www.w3.org/2005/Atom">' + "".join(entry.format(d=d) for d in ("2023-12-31", "2024-01-01", "2024-06-01")) + "</feed>"

@@ -78,12 +78,31 @@ def _splits(spark, d):
     )
 
 
-# --- payloads: responses are built from table rows, then parsed ------------------------
+# --- payloads: responses are built from table rows, landed, then parsed ------------------
+#
+# A response holds the records of ``PAGE`` consecutive ids and a null record behind them. Of nine
+# responses one is cut off and one has no body; these are set aside, so their records do not appear.
 
-@reg.add("json_hits_to_table", """SELECT 'hackernews' AS source, event_type AS query, event_type || ' ' || event_id AS title, '' AS url, user_id::VARCHAR AS author,
-  floor(value)::BIGINT AS points, 0::BIGINT AS num_comments, strftime(ts, '%Y-%m-%d') AS published, strftime(ts, '%G-W%V') AS week, event_id::VARCHAR AS hn_id
-  FROM events WHERE event_type <> 'error'""")
-def _hits(spark, d):
+PAGE = 20
+
+
+def _landed(spark, rows, page, record, query: str, array: str, schema: str):
+    """``rows`` with a column ``query``, as landed responses of several records each."""
+    grouped = rows.select("query", F.floor(page / PAGE).alias("page"), record.alias("record")).groupBy("query", "page").agg(
+        F.collect_list("record").alias("records")
+    )
+    nothing = F.lit(None).cast(grouped.schema["records"].dataType.elementType)
+    body = F.to_json(F.struct(F.col("query").alias(query), F.concat("records", F.array(nothing)).alias(array)))
+    turn = F.pmod("page", F.lit(9))
+    body = F.when(turn == 4, F.left(body, F.length(body) - 2)).when(turn != 7, body)
+    return payloads.land_responses(grouped.select(body.alias("body")), "body", schema, scratch_path(spark, f"landed-{array}"))
+
+
+def _whole(page: str) -> str:
+    return f"(({page}) // {PAGE}) % 9 NOT IN (4, 7)"
+
+
+def _hit_responses(spark, d):
     e = adapters.table(spark, d, "events")
     hit = F.struct(
         F.concat_ws(" ", "event_type", "event_id").alias("title"),
@@ -92,29 +111,30 @@ def _hits(spark, d):
         F.when(F.col("event_type") != "error", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("created_at"),
         F.col("event_id").cast("string").alias("objectID"),
     )
-    body = e.select(F.to_json(F.struct(F.col("event_type").alias("query"), F.array(hit).alias("hits"))).alias("body"))
-    return payloads.stories(payloads.parse_responses(body, "body", schemas.HN_RESPONSE))
+    return _landed(spark, e.withColumn("query", F.col("event_type")), F.col("event_id"), hit, "query", "hits", schemas.HN_RESPONSE)
 
 
-@reg.add("json_posts_to_table", """SELECT 'reddit' AS source, o_orderpriority AS subreddit, o_orderstatus AS title, '' AS text, o_custkey::VARCHAR AS author,
-  floor(o_totalprice)::BIGINT AS score, 0::BIGINT AS num_comments, strftime(o_orderdate, '%Y-%m-%d') AS published, strftime(o_orderdate, '%G-W%V') AS week,
-  o_orderkey::VARCHAR AS post_id, 'https://reddit.com/r/' || o_orderkey AS url FROM orders""")
-def _posts(spark, d):
-    o = adapters.table(spark, d, "orders")
-    post = F.struct(
-        F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("title"),
-        F.col("o_custkey").cast("string").alias("author"), F.floor("o_totalprice").alias("score"),
-        F.unix_timestamp("o_orderdate").cast("double").alias("created_utc"),
+def _post_responses(spark, d):
+    """Orders are posts without a text, turns of conversations posts with one."""
+    o, c = adapters.table(spark, d, "orders"), adapters.table(spark, d, "conversations")
+    orders = o.select(
+        F.col("o_orderpriority").alias("query"), F.col("o_orderkey").alias("page"), F.col("o_orderkey").cast("string").alias("id"),
+        F.col("o_orderstatus").alias("title"), F.lit(None).cast("string").alias("selftext"), F.col("o_custkey").cast("string").alias("author"),
+        F.floor("o_totalprice").alias("score"), F.unix_timestamp("o_orderdate").cast("double").alias("created_utc"),
         F.concat(F.lit("/r/"), "o_orderkey").alias("permalink"),
     )
-    body = o.select(F.to_json(F.struct(F.col("o_orderpriority").alias("subreddit"), F.array(post).alias("data"))).alias("body"))
-    return payloads.posts(payloads.parse_responses(body, "body", schemas.REDDIT_RESPONSE))
+    key = F.concat_ws("-", "conv_id", "turn")
+    turns = c.select(
+        F.col("role").alias("query"), F.col("conv_id").alias("page"), key.alias("id"), F.lit("turn").alias("title"),
+        F.col("text").alias("selftext"), F.col("conv_id").cast("string").alias("author"), F.col("turn").alias("score"),
+        (F.pmod("conv_id", F.lit(700)) * 86_400).cast("double").alias("created_utc"), F.concat(F.lit("/r/"), key).alias("permalink"),
+    )
+    rows = orders.unionByName(turns)
+    post = F.struct(*[c for c in rows.columns if c not in ("query", "page")])
+    return _landed(spark, rows, F.col("page"), post, "subreddit", "data", schemas.REDDIT_RESPONSE)
 
 
-@reg.add("json_repos_to_table", """SELECT 'github' AS source, p_brand AS query, p_partkey::VARCHAR AS repo_id, p_name AS name, '' AS description, p_size::BIGINT AS stars,
-  0::BIGINT AS forks, CASE WHEN p_size > 25 THEN p_type ELSE '' END AS language, p_brand || ', ' || p_type AS topics,
-  strftime(DATE '2023-01-01' + p_size, '%Y-%m-%d') AS published, strftime(DATE '2023-01-01' + p_size, '%G-W%V') AS week, 'https://github.com/' || p_partkey AS url FROM part""")
-def _repos(spark, d):
+def _repo_responses(spark, d):
     p = adapters.table(spark, d, "part")
     created = F.date_format(F.date_add(F.lit("2023-01-01").cast("date"), F.col("p_size")), "yyyy-MM-dd'T'00:00:00'Z'")
     repo = F.struct(
@@ -122,23 +142,74 @@ def _repos(spark, d):
         F.when(F.col("p_size") > 25, F.col("p_type")).alias("language"), F.array("p_brand", "p_type").alias("topics"),
         created.alias("created_at"), F.concat(F.lit("https://github.com/"), "p_partkey").alias("html_url"),
     )
-    body = p.select(F.to_json(F.struct(F.col("p_brand").alias("query"), F.array(repo).alias("items"))).alias("body"))
-    return payloads.repositories(payloads.parse_responses(body, "body", schemas.GITHUB_RESPONSE))
+    return _landed(spark, p.withColumn("query", F.col("p_brand")), F.col("p_partkey"), repo, "query", "items", schemas.GITHUB_RESPONSE)
 
 
-@reg.add("json_papers_to_table", """SELECT 'semantic_scholar' AS source, lang AS query, source AS title, '' AS abstract,
-  CASE WHEN doc_id % 2 = 0 THEN strftime(DATE '2023-01-01' + (doc_id % 700)::INT, '%Y-%m-%d') ELSE (2000 + doc_id % 25)::VARCHAR END AS published,
-  n_chars AS citation_count, 'https://www.semanticscholar.org/paper/' || doc_id AS url FROM documents""")
-def _papers(spark, d):
+def _paper_responses(spark, d):
     docs = adapters.table(spark, d, "documents")
     day = F.date_add(F.lit("2023-01-01").cast("date"), F.pmod("doc_id", F.lit(700)).cast("int"))
     paper = F.struct(
-        F.col("doc_id").cast("string").alias("paperId"), F.col("source").alias("title"),
+        F.col("doc_id").cast("string").alias("paperId"), F.col("source").alias("title"), F.col("text").alias("abstract"),
         F.when(F.pmod("doc_id", F.lit(2)) == 0, F.date_format(day, "yyyy-MM-dd")).alias("publicationDate"),
         (F.lit(2000) + F.pmod("doc_id", F.lit(25))).alias("year"), F.col("n_chars").alias("citationCount"),
     )
-    body = docs.select(F.to_json(F.struct(F.col("lang").alias("query"), F.array(paper).alias("data"))).alias("body"))
-    return payloads.papers(payloads.parse_responses(body, "body", schemas.S2_RESPONSE))
+    return _landed(spark, docs.withColumn("query", F.col("lang")), F.col("doc_id"), paper, "query", "data", schemas.S2_RESPONSE)
+
+
+@reg.add("json_hits_to_table", f"""SELECT 'hackernews' AS source, event_type AS query, event_type || ' ' || event_id AS title, '' AS url, user_id::VARCHAR AS author,
+  floor(value)::BIGINT AS points, 0::BIGINT AS num_comments, strftime(ts, '%Y-%m-%d') AS published, strftime(ts, '%G-W%V') AS week, event_id::VARCHAR AS hn_id
+  FROM events WHERE event_type <> 'error' AND {_whole('event_id')}""")
+def _hits(spark, d):
+    return payloads.stories(_hit_responses(spark, d).rows)
+
+
+@reg.add("json_posts_to_table", f"""WITH p AS (
+    SELECT o_orderkey AS page, o_orderpriority AS subreddit, o_orderstatus AS title, '' AS text, o_custkey::VARCHAR AS author,
+      floor(o_totalprice)::BIGINT AS score, o_orderdate::DATE AS day, o_orderkey::VARCHAR AS post_id FROM orders
+    UNION ALL SELECT conv_id, role, 'turn', coalesce(text, ''), conv_id::VARCHAR, turn, DATE '1970-01-01' + (conv_id % 700)::INT, conv_id || '-' || turn FROM conversations)
+  SELECT 'reddit' AS source, subreddit, title, text, author, score, 0::BIGINT AS num_comments, strftime(day, '%Y-%m-%d') AS published,
+    strftime(day, '%G-W%V') AS week, post_id, 'https://reddit.com/r/' || post_id AS url FROM p WHERE {_whole('page')}""")
+def _posts(spark, d):
+    return payloads.posts(_post_responses(spark, d).rows)
+
+
+@reg.add("json_repos_to_table", f"""SELECT 'github' AS source, p_brand AS query, p_partkey::VARCHAR AS repo_id, p_name AS name, '' AS description, p_size::BIGINT AS stars,
+  0::BIGINT AS forks, CASE WHEN p_size > 25 THEN p_type ELSE '' END AS language, p_brand || ', ' || p_type AS topics,
+  strftime(DATE '2023-01-01' + p_size, '%Y-%m-%d') AS published, strftime(DATE '2023-01-01' + p_size, '%G-W%V') AS week, 'https://github.com/' || p_partkey AS url
+  FROM part WHERE {_whole('p_partkey')}""")
+def _repos(spark, d):
+    return payloads.repositories(_repo_responses(spark, d).rows)
+
+
+@reg.add("json_papers_to_table", f"""SELECT 'semantic_scholar' AS source, lang AS query, source AS title, coalesce(text, '') AS abstract,
+  CASE WHEN doc_id % 2 = 0 THEN strftime(DATE '2023-01-01' + (doc_id % 700)::INT, '%Y-%m-%d') ELSE (2000 + doc_id % 25)::VARCHAR END AS published,
+  n_chars AS citation_count, 'https://www.semanticscholar.org/paper/' || doc_id AS url FROM documents WHERE {_whole('doc_id')}""")
+def _papers(spark, d):
+    return payloads.papers(_paper_responses(spark, d).rows)
+
+
+def _counts_sql(source: str, query: str, page: str, table: str) -> str:
+    return f"""SELECT '{source}' AS source, count(*) AS "read", count(*) FILTER (page % 9 NOT IN (4, 7)) AS parsed,
+      count(*) FILTER (page % 9 = 7) AS missing, count(*) FILTER (page % 9 = 4) AS broken FROM (SELECT DISTINCT {query} AS q, {page} // {PAGE} AS page FROM {table})"""
+
+
+@reg.add("payload_quarantine", " UNION ALL ".join([
+    _counts_sql("hackernews", "event_type", "event_id", "events"), _counts_sql("github", "p_brand", "p_partkey", "part"),
+    _counts_sql("semantic_scholar", "lang", "doc_id", "documents"),
+]))
+def _quarantine(spark, d):
+    """How many responses of each kind were read, parsed and set aside; the stored ones are counted again."""
+    made = {"hackernews": _hit_responses, "github": _repo_responses, "semantic_scholar": _paper_responses}
+    parts = []
+    for source, responses in made.items():
+        landed = responses(spark, d)
+        stored = [F.count_if(F.col("outcome") == name).alias(name) for name in ("missing", "broken")]
+        counted = landed.aside.agg(*stored)
+        parts.append(counted.select(
+            F.lit(source).alias("source"), F.lit(landed.counts["read"]).cast("long").alias("read"),
+            F.lit(landed.counts["parsed"]).cast("long").alias("parsed"), "missing", "broken",
+        ))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @reg.add("atom_to_table", """SELECT 'arxiv' AS source, o_orderpriority AS query, o_orderstatus AS title, 'order ' || o_orderkey AS abstract,

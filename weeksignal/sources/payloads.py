@@ -1,12 +1,15 @@
 """Landed API responses as flat tables.
 
 Each function takes a frame of responses in the shape given in ``schemas``: one
-row per response, records nested in an array.
+row per response, records nested in an array. A null record in an array is skipped.
+Responses that cannot be parsed are set aside and counted by ``land_responses``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from weeksignal import schemas
 from weeksignal.functions.weeks import epoch_to_date, iso_week
@@ -22,6 +25,46 @@ def parse_responses(df: DataFrame, column: str, schema: T.StructType | str) -> D
     return df.select(F.from_json(column, schema).alias("r")).select("r.*")
 
 
+@dataclass(frozen=True)
+class Landed:
+    """Responses that parsed, those set aside (kept columns, ``body``, ``outcome``), and the counts of both."""
+
+    rows: DataFrame
+    aside: DataFrame
+    counts: dict[str, int]
+
+
+def land_responses(df: DataFrame, column: str, schema: str, target: str, keep: tuple[str, ...] = ()) -> Landed:
+    """Parse the responses of a text column into ``target``, in one pass over the input.
+
+    An outcome is ``parsed``, ``missing`` (null or blank body) or ``broken`` (no JSON of the
+    schema, for instance cut off or a number that is none). A broken response is set aside
+    whole, so no part of it is taken for all of it. Counts come with the write itself.
+    """
+    spark = df.sparkSession
+    shape = T.StructType.fromDDL(f"{schema}, _broken string")
+    read = F.from_json("body", shape, {"columnNameOfCorruptRecord": "_broken"})
+    rows = df.select(*[F.col(c) for c in keep], F.col(column).cast("string").alias("body")).withColumn("r", read)
+    blank = F.col("body").isNull() | (F.trim("body") == "")
+    outcome = F.when(blank, "missing").when(F.col("r").isNull() | F.col("r._broken").isNotNull(), "broken").otherwise("parsed")
+    parsed = F.col("outcome") == "parsed"
+    rows = rows.withColumn("outcome", outcome)
+    rows = rows.select(
+        *keep, "outcome", F.when(~parsed, F.col("body")).alias("body"), F.when(parsed, F.col("r").dropFields("_broken")).alias("r")
+    )
+    seen = Observation()
+    counts = [F.count_if(F.col("outcome") == name).alias(name) for name in ("parsed", "missing", "broken")]
+    rows.observe(seen, F.count(F.lit(1)).alias("read"), *counts).write.partitionBy("outcome").parquet(target)
+    stored = spark.read.schema(rows.schema).parquet(target)
+    good = stored.where(parsed).select(*keep, "r.*")
+    return Landed(good, stored.where(~parsed).select(*keep, "body", "outcome"), seen.get)
+
+
+def _records(responses: DataFrame, kept: str, array: str) -> DataFrame:
+    """One row a record, with the response's own column."""
+    return responses.select(kept, F.explode(array).alias("_r")).where(F.col("_r").isNotNull()).select(kept, "_r.*")
+
+
 def _text(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 
@@ -32,7 +75,7 @@ def _number(c: str) -> Column:
 
 def stories(responses: DataFrame) -> DataFrame:
     """Hacker News hits; a hit without a creation time is skipped."""
-    hits = responses.select("query", F.explode("hits").alias("h")).select("query", "h.*")
+    hits = _records(responses, "query", "hits")
     hits = hits.where(F.col("created_at").isNotNull() & (F.col("created_at") != ""))
     day = F.substring("created_at", 1, 10)
     return hits.select(
@@ -45,7 +88,7 @@ def stories(responses: DataFrame) -> DataFrame:
 
 def posts(responses: DataFrame) -> DataFrame:
     """Reddit posts; the creation time is read as UTC."""
-    rows = responses.select("subreddit", F.explode("data").alias("p")).select("subreddit", "p.*")
+    rows = _records(responses, "subreddit", "data")
     day = epoch_to_date(F.coalesce("created_utc", F.lit(0.0)))
     return rows.select(
         F.lit("reddit").alias("source"), "subreddit",
@@ -57,7 +100,7 @@ def posts(responses: DataFrame) -> DataFrame:
 
 
 def repositories(responses: DataFrame) -> DataFrame:
-    rows = responses.select("query", F.explode("items").alias("i")).select("query", "i.*")
+    rows = _records(responses, "query", "items")
     day = F.substring(_text("created_at"), 1, 10)
     return rows.select(
         F.lit("github").alias("source"), "query",
@@ -72,7 +115,7 @@ def repositories(responses: DataFrame) -> DataFrame:
 
 def papers(responses: DataFrame) -> DataFrame:
     """Semantic Scholar papers; a paper without a date falls back to its year."""
-    rows = responses.select("query", F.explode("data").alias("p")).select("query", "p.*")
+    rows = _records(responses, "query", "data")
     dated = F.when(F.col("publicationDate") != "", F.col("publicationDate"))
     return rows.select(
         F.lit("semantic_scholar").alias("source"), "query",
