@@ -136,3 +136,18 @@ def test_source_bursts_drop_short_history(spark):
 def test_weekly_counts_skip_unknown_weeks(spark):
     df = spark.createDataFrame([("T", "2024-W01"), ("T", ""), ("T", None), ("T", "2024-W01")], "canonical_topic string, week string")
     assert [tuple(r) for r in weekly.weekly_mentions(df).collect()] == [("T", "2024-W01", 2)]
+
+
+def test_cube_from_two_tables_or_one_column(spark):
+    rows = [("a", "2024-W01", "arxiv"), ("a", "2024-W01", "arxiv"), ("a", "2024-W02", "reddit"), ("b", None, "arxiv"), ("b", "2024-W01", None)]
+    signals = spark.createDataFrame(rows, "canonical_topic string, week string, source string")
+    letters = spark.createDataFrame([("a", "2024-W03", "tldr"), ("a", "2024-W03", "tldr"), ("c", "", "tldr")], signals.schema)
+    cube = weekly.topic_cube(signals, letters)
+    got = {tuple(r) for r in weekly.weekly_mentions(weekly.cube_signals(cube)).collect()}
+    assert got == {tuple(r) for r in weekly.weekly_mentions(signals).collect()} == {("a", "2024-W01", 2), ("a", "2024-W02", 1), ("b", "2024-W01", 1)}
+    assert [tuple(r) for r in weekly.cube_newsletters(cube).collect()] == [("a", "2024-W03", 2, 1)]
+    flagged = signals.withColumn("covered", F.when(F.col("source") == "reddit", True))
+    cube = weekly.topic_cube(flagged)
+    assert [tuple(r) for r in weekly.cube_newsletters(cube).collect()] == [("a", "2024-W02", 1, 1)]
+    assert weekly.cube_signals(cube).agg(F.sum("mentions")).first()[0] == 5
+    assert weekly.topic_cube(signals.limit(0), letters.limit(0)).count() == 0

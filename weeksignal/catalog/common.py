@@ -25,17 +25,23 @@ def nl_weekly(spark, folder) -> DataFrame:
     return weekly.newsletter_weekly(newsletters(spark, folder))
 
 
-def feature_matrix(spark, folder, numerator: str = "active") -> DataFrame:
-    return features.topic_week_features(sig_weekly(spark, folder), nl_weekly(spark, folder), numerator)
+def topic_cube(spark, folder) -> DataFrame:
+    """Counts per topic, week and source, written once: the raw mentions are read here and nowhere else."""
+    return cut_lineage(weekly.topic_cube(adapters.covered_mentions(spark, folder)), "cube")
 
 
-def feature_table(spark, folder, numerator: str = "active") -> DataFrame:
+def feature_matrix(spark, folder, numerator: str = "active", cube: DataFrame | None = None) -> DataFrame:
+    """The matrix from a given cube, or from one of its own."""
+    cube = topic_cube(spark, folder) if cube is None else cube
+    return features.topic_week_features(weekly.weekly_mentions(weekly.cube_signals(cube)), weekly.cube_newsletters(cube), numerator)
+
+
+def feature_table(spark, folder, numerator: str = "active", cube: DataFrame | None = None) -> DataFrame:
     """The matrix written once to the shared folder.
 
-    For queries that use it several times: the raw mentions are read once, however
-    many branches follow.
+    For queries that use it several times: windows run once, however many branches follow.
     """
-    return cut_lineage(feature_matrix(spark, folder, numerator), "features")
+    return cut_lineage(feature_matrix(spark, folder, numerator, cube), "features")
 
 
 # --- SQL fragments -----------------------------------------------------------

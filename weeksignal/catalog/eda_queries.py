@@ -6,7 +6,7 @@ from itertools import combinations
 
 from pyspark.sql import functions as F
 
-from weeksignal.catalog.common import FEAT, Registry, feature_matrix, feature_table, nl_weekly, sig_weekly, signals
+from weeksignal.catalog.common import FEAT, Registry, feature_matrix, feature_table, topic_cube
 from weeksignal.catalog.feature_queries import ACAD, SRC_BURST, TRAJ, bursts, src_bursts
 from weeksignal.operators import distribution, features, stats, weekly
 from weeksignal.plans import dashboard, eda
@@ -20,8 +20,8 @@ def rounded(df, digits=9, *columns):
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def multi(spark, d):
-    return features.multi_source(src_bursts(spark, d))
+def multi(spark, d, cube=None):
+    return features.multi_source(src_bursts(spark, d, cube))
 
 
 def trajectories(feat):
@@ -29,8 +29,9 @@ def trajectories(feat):
 
 
 def full_matrix(spark, d):
-    feat = feature_table(spark, d)
-    return eda.full_feature_matrix(feat, multi(spark, d), trajectories(feat))
+    cube = topic_cube(spark, d)
+    feat = feature_table(spark, d, cube=cube)
+    return eda.full_feature_matrix(feat, multi(spark, d, cube), trajectories(feat))
 
 
 _LM = """
@@ -60,11 +61,21 @@ wk AS (SELECT max(week) AS latest FROM dm),
 wk2 AS (SELECT max(week) AS previous FROM dm WHERE week < (SELECT latest FROM wk))"""
 
 
+def labelled_sources(spark, d):
+    cube = topic_cube(spark, d)
+    return eda.label_multi_source(feature_matrix(spark, d, cube=cube), multi(spark, d, cube))
+
+
+def dashboard_rows(spark, d, cube=None):
+    cube = topic_cube(spark, d) if cube is None else cube
+    return dashboard.dashboard_matrix(feature_matrix(spark, d, cube=cube), weekly.cube_signals(cube))
+
+
 # --- joins ------------------------------------------------------------------------
 
 @reg.add("label_multi_source", f"{FULL} SELECT * FROM lm")
 def _label_multi(spark, d):
-    return eda.label_multi_source(feature_matrix(spark, d), multi(spark, d))
+    return labelled_sources(spark, d)
 
 
 @reg.add("label_trajectory", f"{FULL} SELECT * FROM lt")
@@ -81,7 +92,7 @@ def _full(spark, d):
 @reg.add("dashboard_matrix", f"""{MATRIX} SELECT * EXCLUDE (academic_n, social_n, combined),
   round(academic_n, 9) AS academic_n, round(social_n, 9) AS social_n, round(combined, 9) AS combined FROM dm""")
 def _dash(spark, d):
-    m = dashboard.dashboard_matrix(feature_matrix(spark, d), signals(spark, d))
+    m = dashboard_rows(spark, d)
     return rounded(m, 9, "academic_n", "social_n", "combined")
 
 
@@ -89,7 +100,8 @@ def _dash(spark, d):
   coalesce(in_newsletter, 0) AS label_same_week FROM feat f
   LEFT JOIN nl_w n ON n.canonical_topic = f.canonical_topic AND n.week = f.week""")
 def _same_week(spark, d):
-    out = features.same_week_label(feature_matrix(spark, d), nl_weekly(spark, d))
+    cube = topic_cube(spark, d)
+    out = features.same_week_label(feature_matrix(spark, d, cube=cube), weekly.cube_newsletters(cube))
     return out.select("canonical_topic", "week", "label_next2wk", "label_same_week")
 
 
@@ -98,8 +110,7 @@ def _same_week(spark, d):
 @reg.add("rate_by_sources_bursting", f"""{FULL} SELECT sources_bursting, count(*) AS n,
   round(avg(label_next2wk) * 100, 9) AS rate_percent FROM lm WHERE sources_bursting BETWEEN 0 AND 3 GROUP BY 1""")
 def _rate(spark, d):
-    lm = eda.label_multi_source(feature_matrix(spark, d), multi(spark, d))
-    return rounded(stats.rate_by_sources(lm), 9, "rate_percent")
+    return rounded(stats.rate_by_sources(labelled_sources(spark, d)), 9, "rate_percent")
 
 
 @reg.add("class_balance", f"""{FEAT}, c AS (SELECT count(*) AS total, sum(label_next2wk)::BIGINT AS positive FROM feat)
@@ -128,7 +139,8 @@ def _sweep(spark, d):
          round(count(label_next2wk) / any_value(total), 9) AS coverage
   FROM ty CROSS JOIN t LEFT JOIN sb ON sb.source_type = ty.source_type AND source_burst >= threshold GROUP BY 1, 2""")
 def _source_curve(spark, d):
-    out = stats.source_precision_curve(src_bursts(spark, d), feature_matrix(spark, d))
+    cube = topic_cube(spark, d)
+    out = stats.source_precision_curve(src_bursts(spark, d, cube), feature_matrix(spark, d, cube=cube))
     return rounded(out, 9, "precision", "coverage")
 
 
@@ -200,7 +212,7 @@ def _corr(spark, d):
 @reg.add("label_correlations", MATRIX + " " + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, round(corr({c}, label_next2wk), 9) AS r FROM dm" for c in dashboard.CORRELATED))
 def _label_corr(spark, d):
-    m = dashboard.dashboard_matrix(feature_matrix(spark, d), signals(spark, d))
+    m = dashboard_rows(spark, d)
     return rounded(stats.label_correlations(m, dashboard.CORRELATED), 9, "r")
 
 
@@ -249,9 +261,8 @@ def _traj_hist(spark, d):
 
 # --- dashboard ----------------------------------------------------------------------
 
-def _matrix(spark, d):
-    m = dashboard.dashboard_matrix(feature_matrix(spark, d), signals(spark, d))
-    return cut_lineage(m, "dashboard")
+def _matrix(spark, d, cube=None):
+    return cut_lineage(dashboard_rows(spark, d, cube), "dashboard")
 
 
 @reg.add("top_bursts", f"""{MATRIX} SELECT row_number() OVER (ORDER BY burst_score DESC, canonical_topic)::INT AS rank, canonical_topic, week,
@@ -360,7 +371,8 @@ _KPI_CORR = " UNION ALL ".join(
     (SELECT feature FROM best) AS top_predictor, round((SELECT r FROM best), 6) AS top_predictor_r,
     (SELECT canonical_topic FROM tb) AS top_topic, (SELECT burst_score FROM tb) AS top_burst FROM dm""")
 def _kpi(spark, d):
-    return dashboard.kpi_row(_matrix(spark, d), sig_weekly(spark, d))
+    cube = topic_cube(spark, d)
+    return dashboard.kpi_row(_matrix(spark, d, cube), weekly.weekly_mentions(weekly.cube_signals(cube)))
 
 
 @reg.add("similarity_stats", f"""{FEAT} SELECT round(avg(similarity), 9) AS mean, round(quantile_cont(similarity, 0.5), 9) AS median,

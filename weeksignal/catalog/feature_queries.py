@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from weeksignal.catalog.common import (
     BURST, FEAT, HIST, SIG, WEEKLY, Registry, feature_matrix, feature_table, newsletters, nl_weekly, sig_weekly, signals,
-    sql_burst,
+    sql_burst, topic_cube,
 )
 from weeksignal.functions.text import source_type
 from weeksignal.operators import distribution, features, weekly
@@ -45,8 +45,9 @@ traj AS (
   WHERE n >= 5 AND rn >= 4)"""
 
 
-def src_bursts(spark, d):
-    return features.source_bursts(weekly.weekly_mentions_by_type(signals(spark, d)))
+def src_bursts(spark, d, cube=None):
+    cube = topic_cube(spark, d) if cube is None else cube
+    return features.source_bursts(weekly.weekly_mentions_by_type(weekly.cube_signals(cube)))
 
 
 def bursts(spark, d):
@@ -112,8 +113,9 @@ def _distinct_count(spark, d):
   (SELECT min(week) FROM sig_w) AS first_week, (SELECT max(week) FROM sig_w) AS last_week,
   (SELECT sum(is_novel_topic)::BIGINT FROM hist) AS novel_rows""")
 def _overview(spark, d):
-    sig = sig_weekly(spark, d)
-    history = features.history_features(sig, nl_weekly(spark, d))
+    cube = topic_cube(spark, d)
+    sig = weekly.weekly_mentions(weekly.cube_signals(cube))
+    history = features.history_features(sig, weekly.cube_newsletters(cube))
     novel = history.agg(F.sum("is_novel_topic")).scalar()
     return weekly.dataset_overview(sig).withColumn("novel_rows", novel)
 
@@ -262,7 +264,7 @@ acad_n AS (
 
 @reg.add("academic_social", f"{SIG}, {ACAD} SELECT canonical_topic, week, academic, social, round(academic_n, 9) AS academic_n, round(social_n, 9) AS social_n, round(combined, 9) AS combined FROM acad_n")
 def _acad(spark, d):
-    scored = weekly.academic_social(signals(spark, d))
+    scored = weekly.academic_social(weekly.cube_signals(topic_cube(spark, d)))
     return scored.select(
         "canonical_topic", "week", "academic", "social",
         *[F.round(c, 9).alias(c) for c in ("academic_n", "social_n", "combined")],
@@ -272,9 +274,9 @@ def _acad(spark, d):
 @reg.add("source_mix", f"""{SIG}, l AS (SELECT source, count(*) AS mentions FROM sig WHERE week = (SELECT max(week) FROM sig) GROUP BY 1)
   SELECT source, mentions, mentions / (SELECT sum(mentions) FROM l) AS share FROM l""")
 def _mix(spark, d):
-    return weekly.source_mix(signals(spark, d))
+    return weekly.source_mix(weekly.cube_signals(topic_cube(spark, d)))
 
 
 @reg.add("source_timeline", f"{SIG} SELECT week, source, count(*) AS mentions FROM sig GROUP BY 1, 2")
 def _timeline(spark, d):
-    return weekly.source_timeline(signals(spark, d))
+    return weekly.source_timeline(weekly.cube_signals(topic_cube(spark, d)))

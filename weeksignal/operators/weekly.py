@@ -33,15 +33,41 @@ def mentions_by(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(mention_count(df))
 
 
+def topic_cube(signals: DataFrame, newsletters: DataFrame | None = None, covered: str = "covered") -> DataFrame:
+    """Mentions and newsletter mentions per topic, week and source, counted in one pass.
+
+    Every weekly table follows from this small one, so the raw rows are read once however many
+    tables are wanted. Editorial coverage is a table of its own, a boolean column ``covered`` of
+    the signals (NULL: not covered), or both. Rows without a topic, week or source keep their NULLs.
+    """
+    hit = F.coalesce(F.col(covered), F.lit(False)) if covered in signals.columns else F.lit(False)
+    keys = [*TOPIC_WEEK, "source"]
+    rows = signals.select(*keys, F.lit(1).alias("signal"), hit.cast("int").alias("letter"))
+    if newsletters is not None:
+        rows = rows.unionByName(newsletters.select(*keys, F.lit(0).alias("signal"), F.lit(1).alias("letter")))
+    return rows.groupBy(*keys).agg(F.sum("signal").alias("mentions"), F.sum("letter").alias("nl_mentions"))
+
+
+def cube_signals(cube: DataFrame) -> DataFrame:
+    """The signal side of a cube: stands for the raw signals wherever only topic, week and source count."""
+    return cube.where(F.col("mentions") > 0).drop("nl_mentions")
+
+
+def cube_newsletters(cube: DataFrame) -> DataFrame:
+    """The newsletter weeks of a cube, as ``newsletter_weekly`` gives them."""
+    counted = with_known_week(cube.where(F.col("nl_mentions") > 0)).groupBy(*TOPIC_WEEK)
+    return counted.agg(F.sum("nl_mentions").alias("nl_mentions")).withColumn("in_newsletter", F.lit(1))
+
+
 def weekly_mentions(signals: DataFrame) -> DataFrame:
-    return with_known_week(signals).groupBy(*TOPIC_WEEK).agg(F.count(F.lit(1)).alias("mentions"))
+    return mentions_by(with_known_week(signals), TOPIC_WEEK)
 
 
 def weekly_mentions_by_type(signals: DataFrame) -> DataFrame:
     typed = with_known_week(signals)
     if "source_type" not in typed.columns:
         typed = typed.withColumn("source_type", source_type("source"))
-    return typed.groupBy(*TOPIC_WEEK, "source_type").agg(F.count(F.lit(1)).alias("mentions"))
+    return mentions_by(typed, [*TOPIC_WEEK, "source_type"])
 
 
 def newsletter_weekly(newsletters: DataFrame) -> DataFrame:

@@ -30,6 +30,20 @@ def _mapped_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
 
 
+def _covered() -> Column:
+    return (F.col("l_quantity") >= 48) & (F.col("l_returnflag") == "R")
+
+
+def covered_mentions(spark: SparkSession, folder: str) -> DataFrame:
+    """Topic, week and source of every phrase mention, and whether it is a newsletter mention too."""
+    return _mapped_lines(spark, folder).select(
+        F.concat_ws(" ", "p_brand", "p_type").alias("canonical_topic"),
+        week_of_date(F.col("l_shipdate").cast("date")).alias("week"),
+        spread_source(F.col("l_suppkey")).alias("source"),
+        _covered().alias("covered"),
+    )
+
+
 def signal_topic_map(spark: SparkSession, folder: str) -> DataFrame:
     """Every line item is a phrase mention, mapped to its part's brand and type."""
     return _mapped_lines(spark, folder).select(
@@ -45,8 +59,7 @@ def signal_topic_map(spark: SparkSession, folder: str) -> DataFrame:
 
 def newsletter_topic_map(spark: SparkSession, folder: str) -> DataFrame:
     """Large returned orders play the part of editorial coverage."""
-    lines = _mapped_lines(spark, folder)
-    lines = lines.where((F.col("l_quantity") >= 48) & (F.col("l_returnflag") == "R"))
+    lines = _mapped_lines(spark, folder).where(_covered())
     return lines.select(
         F.col("p_name").alias("phrase"),
         (F.lit(0.5) + F.col("l_discount")).alias("score"),
