@@ -55,3 +55,20 @@ def test_queries_keep_no_models(monkeypatch):
     session = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="one"))
     first, second = (model_queries._tree(session, "folder") for _ in range(2))
     assert runs == ["rows", "grid"] * 2 and first != second
+
+
+@pytest.mark.parametrize("label", [0, 1])
+def test_grids_over_training_weeks_of_one_class(spark, matrix, label):
+    from weeksignal.operators import evaluate
+
+    train = evaluate.temporal_split(matrix).where("split = 'train'").select("week").distinct()
+    mixed = matrix.join(train.withColumn("_t", F.lit(True)), "week", "left").withColumn(
+        "label_next2wk", F.when(F.col("_t"), F.lit(label)).otherwise(F.col("label_next2wk")).cast("int")
+    ).drop("_t")
+    data = models.prepare(mixed)
+    weights = {(r.label_next2wk, r.weight) for r in data.rows.select("label_next2wk", "weight").distinct().collect()}
+    assert weights == {(label, 0.5), (1 - label, None)}
+    for grid, fit in (([1, 3], models.fit_tree), ([0.1, 1.0], models.fit_logistic), ([(2, 2)], models.fit_forest)):
+        best, table = models.tune(data, grid, fit)
+        assert table.count() == len(grid)
+        assert models.score(best, data.part("test")).where("prediction <> %d or score is null" % label).count() == 0

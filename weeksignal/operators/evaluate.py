@@ -61,11 +61,12 @@ def balanced_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, train: DataFrame, label: str = LABEL, out: str = "weight") -> DataFrame:
+    """Add n / (2 * count of the row's class in ``train``); NULL for a class that ``train`` lacks."""
     counts = train.agg(
         F.struct(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("p"))
     ).scalar()
     n, pos = counts.getField("n"), counts.getField("p")
-    return df.withColumn(out, n / (2 * F.when(F.col(label) == 1, pos).otherwise(n - pos)))
+    return df.withColumn(out, F.try_divide(n, 2 * F.when(F.col(label) == 1, pos).otherwise(n - pos)))
 
 
 def scaler(train: DataFrame, columns: list[str]) -> Column:
