@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 VOID_TAGS = frozenset(
@@ -143,6 +144,9 @@ def _archive_issue(html: str) -> tuple[str, str, str]:
     return title, _text(body[0], " ") if body else "", date
 
 
+# Pages that are Python objects at a time.
+_PAGES = 64
+
 LAYOUTS = {"issue": _issue, "post": _post, "archive": _archive_issue}
 
 
@@ -160,23 +164,22 @@ def html_extract(pages: DataFrame, layout: str, html: str = "html", min_chars: i
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     schema += ", title string, text string, date string"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [parse(h) for h in batch[html]]
-            out = batch[[f.name for f in kept]].copy()
-            out["title"] = [r[0] for r in rows]
-            out["text"] = [r[1] for r in rows]
-            out["date"] = [r[2] for r in rows]
-            if layout == "post":
-                if "title" in meta:
-                    out["title"] = batch["title"].fillna("")
-                for column in ("description", "subtitle"):
-                    if column in meta:
-                        out["text"] = out["text"].where(out["text"] != "", batch[column].fillna(""))
-            yield out
+            for at in range(0, batch.num_rows, _PAGES):
+                part = batch.slice(at, _PAGES)
+                titles, texts, dates = zip(*(parse(h) for h in part.column(html).to_pylist()), strict=True)
+                if layout == "post":
+                    if "title" in meta:
+                        titles = [t or "" for t in part.column("title").to_pylist()]
+                    for column in ("description", "subtitle"):
+                        if column in meta:
+                            texts = [t if t != "" else other or "" for t, other in zip(texts, part.column(column).to_pylist(), strict=True)]
+                made = [pa.array(values, pa.string()) for values in (titles, texts, dates)]
+                yield pa.record_batch([*(part.column(f.name) for f in kept), *made], [*(f.name for f in kept), "title", "text", "date"])
 
     wanted = list(dict.fromkeys([*keep, *meta, html]))
-    parsed = pages.select(*wanted).mapInPandas(run, schema)
+    parsed = pages.select(*wanted).mapInArrow(run, schema)
     limit = 100 if min_chars is None and layout == "issue" else min_chars
     return parsed if limit is None else parsed.where(F.char_length("text") >= limit)
 
