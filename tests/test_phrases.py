@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,3 +91,23 @@ def test_trie_patterns_equal_the_plain_alternations(spark):
         text.junk_match("phrase").eqNullSafe(low.rlike(text.JUNK_REGEX)).alias("junk"), text.sponsor_match("phrase").eqNullSafe(low.rlike(text.SPONSOR_REGEX)).alias("sponsor")
     )
     assert all(r.junk and r.sponsor for r in same.collect())
+
+
+def test_matches_are_asked_once_a_phrase(spark, small):
+    from weeksignal.catalog import text_queries
+
+    for query in (text_queries._junk, text_queries._sponsor):
+        plan = query(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(r"Aggregate \[phrase#\d+\],", plan)
+
+
+def test_hashing_phrases_shuffles_nothing(spark):
+    from weeksignal.functions import vectors
+
+    df = spark.createDataFrame([(1, "solar sails"), (2, "solar sails"), (3, ""), (4, None)], "id int, phrase string")
+    out = vectors.embed_phrases(df, "phrase")
+    assert out.columns == ["phrase", "id", "embedding"]
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    rows = {r.id: r.embedding for r in out.collect()}
+    assert rows[1] == rows[2] and abs(sum(x * x for x in rows[1]) - 1) < 1e-12
+    assert set(rows[3]) == {0.0} and rows[4] is None
