@@ -169,3 +169,25 @@ def test_rows_of_one_id_are_judged_by_their_text(spark):
     assert sorted((r["doc_id"], r["text"] or "") for r in N.drop_copies(df).collect()) == [(3, x), (5, ""), (5, y)]
     found = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in N.near_copies(df).collect())
     assert found == [(3, 3, True), (5, 3, False), (5, 5, True), (5, 5, True)]
+
+
+def test_crowds_of_one_leader_are_put_together(spark, monkeypatch):
+    """A group of near-copies is in nearly all nodes of its leader; each document goes to its tasks once and not once a node."""
+    rng = random.Random(4)
+    base = [f"base{k}" for k in range(150)]
+    rows = []
+    for k in range(80):
+        words = list(base)
+        for _ in range(rng.randrange(1, 20)):
+            words[rng.randrange(150)] = f"own{rng.randrange(10**6)}"
+        rows.append((k, " ".join(words)))
+    sizes, cut = {}, N.cut_lineage
+
+    def counted(df, name):
+        out = cut(df, name)
+        sizes[name] = max(sizes.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(N, "cut_lineage", counted)
+    assert run(spark, rows) == plain(rows)
+    assert 0 < sizes["near-crowd"] < 15 * len(rows)

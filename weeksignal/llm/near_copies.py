@@ -6,16 +6,17 @@ value under that level's hash, and a child for each. Similar sets take the same
 high probability, others hardly ever. Trees are independent; ``TREES`` of them leave a pair
 at the threshold out with a probability below one in a million.
 
-In a node all documents are first compared with its leader, the smallest id. The links found
-this way in all nodes give components, and in each small node only documents outside the leader's
-component are then compared, with all documents of other components there. So a group of
+In a node all documents are first compared with two of them, the smallest and the largest id. The
+links found this way in all nodes give components, and in each small node only documents outside the
+node's largest component are then compared, with all documents of other components there. So a group of
 near-copies costs its length and not its square.
 
 Texts of one pattern that resemble each other a little less than the threshold would still be
 candidates in all their pairs. So a node of more than ``CROWD`` documents is compared within one
 task, which gets the token numbers of its documents: each outsider is intersected with all others
 at once, and only pairs that reach the threshold leave the task. Nodes of too many pairs are
-branched on first, so a task's node has a size bound.
+branched on first, so a task's node has a size bound. Crowds of one leader that hold nearly the same
+documents, as those of a group of near-copies do in all trees, are compared as one.
 
 Equal sets are one vertex from the start. Pairs must first agree in size and in a 128-bit
 sketch (a pair at the threshold fails that with a probability of about 10 ** -8), then links
@@ -45,6 +46,8 @@ TREES, DEPTH, MAX_DEPTH = 28, 5, 12
 NODE_PAIRS = 1 << 20
 #: A node of more documents is compared within a task, if their tokens (4 bytes each) are no more than this.
 CROWD, CROWD_TOKENS = 16, 16_000_000
+#: Crowds of one leader are put together where a document is in so many of them on the average.
+BUNDLE = 4
 #: Of 128 bits, so many may differ; at the threshold of 0.8 the mean is 13.
 MOST_DIFFERENT = 34
 #: Up to so many ids are broadcast (8 bytes each), more are joined by a shuffle.
@@ -248,10 +251,28 @@ def _fits(x: str, y: str, least: int, of: int) -> Column:
     return (of * low >= least * high) & (differ[0] + differ[1] <= MOST_DIFFERENT)
 
 
-def _chosen(df: DataFrame, keys: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
-    """Rows whose key is in a one-column table: broadcast behind a count, else by a shuffle."""
-    few = keys.count() <= BROADCAST_IDS
-    return df.join(F.broadcast(keys) if few else keys, key, how)
+def _parts(rows: DataFrame, key: str) -> DataFrame:
+    """By ``key`` rows, tokens, the part of most rows (``above``) and the comparisons that documents of other parts need."""
+    parts = rows.groupBy(key, "part").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"))
+    total, most = F.sum("rows"), F.max("rows")
+    return parts.groupBy(key).agg(
+        total.alias("c"), F.max_by("part", F.struct("rows", "part")).alias("above"), ((total - most) * total).alias("left"), F.sum("n").alias("tokens")
+    )
+
+
+def _bundled(crowd: DataFrame) -> DataFrame:
+    """Rows of crowds, those of one leader put together where they hold the same documents over and over.
+
+    The nodes of a group of near-copies have one leader and nearly the same documents in every tree.
+    As one bundle each document is there once, and all pairs of the nodes are still compared.
+    """
+    members = crowd.groupBy("leader", "id").agg(F.count(F.lit(1)).alias("times"), F.first("n").alias("n"), F.first("part").alias("part"))
+    times = members.groupBy("leader").agg(F.sum("times").alias("times"))
+    fits = (F.col("times") >= BUNDLE * F.col("c")) & (F.col("left") <= NODE_PAIRS) & (F.col("tokens") <= CROWD_TOKENS)
+    leaders = _parts(members, "leader").join(times, "leader").where(fits).select("leader", "above")
+    rest = ["id", "n", "part", "above"]
+    bundles = members.join(leaders, "leader").select(F.lit(True).alias("bundle"), F.col("leader").alias("node"), *rest)
+    return bundles.unionByName(crowd.join(leaders, "leader", "left_anti").select(F.lit(False).alias("bundle"), "node", *rest))
 
 
 class _Join:
@@ -262,7 +283,7 @@ class _Join:
 
     def texts(self, ids: DataFrame) -> DataFrame:
         """One text for each id of a one-column table."""
-        wanted = cut_lineage(_chosen(self.sets.select("id", "doc_id", "version"), ids, "id"), "near-wanted")
+        wanted = cut_lineage(self.sets.select("id", "doc_id", "version").join(ids, "id", "left_semi"), "near-wanted")
         few = wanted.count() <= BROADCAST_IDS
         found = self.docs.join(F.broadcast(wanted) if few else wanted, ["doc_id", "version"])
         return cut_lineage(found.groupBy("id").agg(F.max("text").alias("text")), "near-texts")
@@ -270,8 +291,7 @@ class _Join:
     def confirm(self, pairs: DataFrame) -> DataFrame:
         """Those of the distinct pairs a, b that are linked."""
         pairs = cut_lineage(pairs.distinct(), "near-pairs")
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        texts = self.texts(cut_lineage(ids, "near-ids"))
+        texts = self.texts(pairs.select(F.explode(F.array("a", "b")).alias("id")))
         left = texts.select(F.col("id").alias("a"), F.col("text").alias("left"))
         right = texts.select(F.col("id").alias("b"), F.col("text").alias("right"))
         both = pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right")
@@ -279,43 +299,39 @@ class _Join:
 
     def descend(self, rows: DataFrame, depth: int, labels: DataFrame | None = None) -> DataFrame:
         """id and component of all that is linked, known before or by pairs that meet in these nodes or below."""
-        nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("leader")).where("c > 1")
+        nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("leader"), F.max("id").alias("second")).where("c > 1")
         met = cut_lineage(rows.join(cut_lineage(nodes, "near-nodes"), "node"), "near-rows")
 
         facts = self.sets.select("id", "n", "s1", "s2")
-        star = met.where("id <> leader").select("leader", "id").distinct()
+        star = met.select(F.explode(F.array("leader", "second")).alias("leader"), "id").where("id <> leader").distinct()
         star = star.join(facts, "id").alias("x").join(facts.withColumnRenamed("id", "other").alias("y"), F.col("leader") == F.col("other"))
         star = star.where(_fits("x", "y", self.least, self.of)).select(F.col("leader").alias("a"), F.col("x.id").alias("b"))
         labels = components(self.confirm(star)) if labels is None else joined(labels, self.confirm(star))
-        of_leader = labels.select(F.col("id").alias("leader"), F.col("component").alias("above"))
-        marked = met.join(labels, "id", "left").join(of_leader, "leader", "left")
-        marked = marked.select(
-            "node", "tree", "id", "n", "s1", "s2", "c", F.coalesce("component", "id").alias("part"), F.coalesce("above", "leader").alias("above")
-        )
+        marked = met.join(labels, "id", "left").select("node", "leader", "tree", "id", "n", "s1", "s2", F.coalesce("component", "id").alias("part"))
         marked = cut_lineage(marked, "near-marked")
         apart = F.col("part") != F.col("above")
-        counts = marked.groupBy("node").agg(
-            F.first("c").alias("c"), (F.count_if(apart) * F.first("c")).alias("left"), F.sum("n").alias("tokens")
-        )
+        counts = _parts(marked, "node")
         ends = depth >= MAX_DEPTH
         kind = F.when(F.lit(not ends) & (F.col("left") > NODE_PAIRS), "below")
         kind = kind.when((F.col("c") > CROWD) & (F.col("left") <= NODE_PAIRS) & (F.col("tokens") <= CROWD_TOKENS), "crowd").otherwise("few")
-        counts = cut_lineage(counts.where("left > 0").select("node", kind.alias("kind")), "near-counts")
-        of_kind = lambda name: marked.join(counts.where(F.col("kind") == name).select("node"), "node", "left_semi")
+        kept = marked.join(counts.where("left > 0").select("node", "above", kind.alias("kind")), "node")
+        kept = cut_lineage(kept, "near-kept")  # each row of a node that has pairs left, once
+        of_kind = lambda name: kept.where(F.col("kind") == name)
 
         here = of_kind("few")
         x, y = here.where(apart).alias("x"), here.alias("y")
         across = (F.col("x.node") == F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & _fits("x", "y", self.least, self.of)
         pairs = x.join(y, across).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
-        crowd = cut_lineage(of_kind("crowd").select("node", "id", "n", "part", "above"), "near-crowd")
-        numbers = self.texts(cut_lineage(crowd.select("id").distinct(), "near-ids")).mapInArrow(_tokens(self.width), "id long, tokens array<int>")
-        within = crowd.join(cut_lineage(numbers, "near-tokens"), "id").groupBy("node").applyInArrow(_crowd(self.least, self.of), "a long, b long")
+        crowd = cut_lineage(_bundled(of_kind("crowd")), "near-crowd")
+        numbers = self.texts(crowd.select("id")).mapInArrow(_tokens(self.width), "id long, tokens array<int>")
+        rows = crowd.join(cut_lineage(numbers, "near-tokens"), "id")
+        within = rows.groupBy("bundle", "node").applyInArrow(_crowd(self.least, self.of), "a long, b long")
         labels = joined(labels, self.confirm(pairs.unionByName(within)))
         later = of_kind("below")
         if ends or later.isEmpty():
             return labels
         places = later.groupBy("id", "n", "s1", "s2").agg(F.collect_set(F.struct("node", "tree")).alias("places"))
-        texts = self.texts(cut_lineage(places.select("id").distinct(), "near-ids"))
+        texts = self.texts(places.select("id"))
         below = texts.join(places, "id").select("id", "text", "n", "s1", "s2", "places")
         below = cut_lineage(below.mapInArrow(_branch(self.width, depth), _ROW), "near-below")
         return self.descend(below, depth + 1, labels)
@@ -323,9 +339,17 @@ class _Join:
 
 def components(links: DataFrame) -> DataFrame:
     """id and component, the smallest id reachable, for every id that has a link."""
-    both = cut_lineage(
-        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-edges"
-    )
+    return _spread(_edges(links))
+
+
+def _edges(links: DataFrame) -> DataFrame:
+    """Each link once in both directions."""
+    ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    return cut_lineage(links.select(F.explode(ends).alias("e")).select("e.*").distinct(), "near-edges")
+
+
+def _spread(both: DataFrame) -> DataFrame:
+    """The components of links that stand in both directions."""
     labels = cut_lineage(both.groupBy("a").agg(F.least("a", F.min("b")).alias("c")).withColumnRenamed("a", "id"), "near-labels")
     while True:
         near = both.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("c").alias("m"))
@@ -343,11 +367,11 @@ def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Components (id, component) after further links; only links between components go through the rounds."""
     of = lambda end: labels.select(F.col("id").alias(end), F.col("component").alias(f"{end}_part"))
     moved = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    moved = moved.select(F.coalesce("a_part", "a").alias("a"), F.coalesce("b_part", "b").alias("b")).where("a <> b").distinct()
-    moved = cut_lineage(moved, "near-moved")
-    if moved.isEmpty():
+    moved = moved.select(F.coalesce("a_part", "a").alias("a"), F.coalesce("b_part", "b").alias("b")).where("a <> b")
+    edges = _edges(moved)
+    if edges.isEmpty():
         return labels
-    more = components(moved)
+    more = _spread(edges)
     single = more.select("id", F.col("id").alias("component")).join(labels.select("id"), "id", "left_anti")
     above = more.select(F.col("id").alias("component"), F.col("component").alias("top"))
     found = labels.unionByName(single).join(above, "component", "left")
