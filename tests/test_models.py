@@ -72,3 +72,42 @@ def test_grids_over_training_weeks_of_one_class(spark, matrix, label):
         best, table = models.tune(data, grid, fit)
         assert table.count() == len(grid)
         assert models.score(best, data.part("test")).where("prediction <> %d or score is null" % label).count() == 0
+
+
+def test_fits_at_the_same_time_keep_their_rows_until_the_last(spark, matrix, monkeypatch):
+    from threading import Event
+
+    from weeksignal.catalog import model_queries
+
+    first_done, kept = Event(), []
+
+    def tune(data, grid, fit, fallback, **given):
+        with models.training_rows(data) if "train" not in given else models.nullcontext(given["train"]) as train:
+            if grid == "slow":
+                assert first_done.wait(60)
+                kept.append(train.storageLevel.useMemory)
+        if grid == "quick":
+            first_done.set()
+        return grid, None
+
+    data = models.prepare(matrix)
+    monkeypatch.setattr(model_queries, "prepared", lambda spark, d: data)
+    monkeypatch.setattr(model_queries.models, "tune", tune)
+    monkeypatch.setattr(model_queries, "GRIDS", {"a": ("quick", None, 0), "b": ("slow", None, 0)})
+    model_queries.tuned(spark, "folder", ["a", "b"])
+    assert kept == [True]
+    assert not models.dealt(data.part("train")).storageLevel.useMemory
+
+
+def test_threads_ship_the_package_once():
+    from concurrent.futures import ThreadPoolExecutor
+    from time import sleep
+    from types import SimpleNamespace
+
+    from weeksignal import session
+
+    shipped = []
+    context = SimpleNamespace(addPyFile=lambda path: (sleep(0.2), shipped.append(path)))
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(session.ship_package, [SimpleNamespace(sparkContext=context)] * 3))
+    assert len(shipped) == 1

@@ -32,10 +32,10 @@ def tuned(spark, d, names=tuple(GRIDS)):
     The grids of one query are fitted at the same time, as the jobs of each leave cores idle.
     """
     data = prepared(spark, d)
-    search = lambda name: models.tune(data, *GRIDS[name])
     if len(names) == 1:
-        return data, {names[0]: search(names[0])}
-    with ThreadPoolExecutor(len(names)) as pool:
+        return data, {names[0]: models.tune(data, *GRIDS[names[0]])}
+    with models.training_rows(data) as train, ThreadPoolExecutor(len(names)) as pool:
+        search = lambda name: models.tune(data, *GRIDS[name], train=train)
         return data, dict(zip(names, pool.map(inheritable_thread_target(spark)(search), names), strict=True))
 
 

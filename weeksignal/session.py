@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
 
@@ -27,22 +28,29 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
+_SHIPPING = threading.Lock()
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, once per application."""
+    """Make this package importable in the Python workers, once per application.
+
+    Spark refuses a second file of one name, so threads that come at the same time wait for the first.
+    """
     context = spark.sparkContext
-    if getattr(context, "_weeksignal_shipped", False):
-        return
-    root = os.path.dirname(os.path.abspath(__file__))
-    folder = tempfile.mkdtemp(prefix="weeksignal-package-")
-    archive = os.path.join(folder, "weeksignal.zip")
-    with zipfile.ZipFile(archive, "w") as out:
-        for base, _, files in os.walk(root):
-            for name in files:
-                if name.endswith(".py"):
-                    path = os.path.join(base, name)
-                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
-    context.addPyFile(archive)
-    context._weeksignal_shipped = True
+    with _SHIPPING:
+        if getattr(context, "_weeksignal_shipped", False):
+            return
+        root = os.path.dirname(os.path.abspath(__file__))
+        folder = tempfile.mkdtemp(prefix="weeksignal-package-")
+        archive = os.path.join(folder, "weeksignal.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for base, _, files in os.walk(root):
+                for name in files:
+                    if name.endswith(".py"):
+                        path = os.path.join(base, name)
+                        out.write(path, os.path.relpath(path, os.path.dirname(root)))
+        context.addPyFile(archive)
+        context._weeksignal_shipped = True
 
 
 def shared_folder(spark: SparkSession) -> str:
