@@ -1,6 +1,7 @@
 """Near-copies against comparing all pairs."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -191,3 +192,15 @@ def test_crowds_of_one_leader_are_put_together(spark, monkeypatch):
     monkeypatch.setattr(N, "cut_lineage", counted)
     assert run(spark, rows) == plain(rows)
     assert 0 < sizes["near-crowd"] < 15 * len(rows)
+
+
+def test_crowds_number_their_tokens_in_little_memory():
+    values = np.random.default_rng(3).integers(-(2**31), 2**31, 2_000_000).astype(np.int32)
+    values[::3] = values[0]
+    among, place = np.unique(values, return_inverse=True)
+    tracemalloc.start()
+    size, found = N.numbered(values)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert size == len(among) and (found == place).all() and found.dtype == np.int32
+    assert peak < 24 * len(values)

@@ -9,6 +9,7 @@ import re
 import zlib
 from urllib.parse import quote
 
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -147,3 +148,10 @@ def test_empty_null_and_clashing_columns(spark):
     assert out.columns == docs.columns
     assert [tuple(r) for r in out.collect()] == [(1, None, 0, "a"), (2, "", 0, "b"), *[(3, "[REDACTED]!", 11, "c")] * 2]
     assert secrets.redact(docs.limit(0)).count() == 0
+
+
+def test_redaction_holds_a_few_texts_at_a_time():
+    column = pa.array([f"text {i} token=abcdef{i}" if i % 3 else None for i in range(200)])
+    parts = list(secrets._redact(iter([column, pa.array([], pa.string())])))
+    assert max(map(len, parts)) <= secrets.TEXTS
+    assert [v for part in parts for v in part.to_pylist()] == [f"text {i} [REDACTED]" if i % 3 else None for i in range(200)]

@@ -50,6 +50,8 @@ CROWD, CROWD_TOKENS = 16, 16_000_000
 BUNDLE = 4
 #: Of 128 bits, so many may differ; at the threshold of 0.8 the mean is 13.
 MOST_DIFFERENT = 34
+#: Rows that are Python objects at a time, and tokens that get their place at a time (8 MB).
+ROWS, PLACES = 64, 1 << 20
 #: Up to so many ids are broadcast (8 bytes each), more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
 
@@ -163,6 +165,7 @@ def _sign(width: int):
                         rows.append((doc_id.as_py(), version.as_py(), 0, None, 0, 0, None))
                 columns = list(zip(*rows, strict=True))
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _SIGNS_ARROW, strict=True)], _SIGNS_ARROW)
+        _HASHES.clear()
 
     return run
 
@@ -171,15 +174,15 @@ def _branch(width: int, depth: int):
     """Rows id, text, n, s1, s2, nodes, trees to the rows of their children."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                values = tokens(words_of(row["text"].encode()), width)
-                trees = np.array([p["tree"] for p in row["places"]])
-                below = children(values, np.array([p["node"] for p in row["places"]], np.int64), trees, depth)
-                nodes, at = np.unique(below.reshape(-1).astype(np.int64), return_index=True)
-                k = len(nodes)
-                same = [pa.array([row[c]] * k, pa.int64()) for c in ("id", "n", "s1", "s2")]
-                yield pa.record_batch([pa.array(nodes), pa.array(np.repeat(trees, 2)[at].astype(np.int32)), *same], _ROW_ARROW)
+        for row in (row for batch in batches for at in range(0, len(batch), ROWS) for row in batch.slice(at, ROWS).to_pylist()):
+            values = tokens(words_of(row["text"].encode()), width)
+            trees = np.array([p["tree"] for p in row["places"]])
+            below = children(values, np.array([p["node"] for p in row["places"]], np.int64), trees, depth)
+            nodes, at = np.unique(below.reshape(-1).astype(np.int64), return_index=True)
+            k = len(nodes)
+            same = [pa.array([row[c]] * k, pa.int64()) for c in ("id", "n", "s1", "s2")]
+            yield pa.record_batch([pa.array(nodes), pa.array(np.repeat(trees, 2)[at].astype(np.int32)), *same], _ROW_ARROW)
+        _HASHES.clear()
 
     return run
 
@@ -192,10 +195,19 @@ def _tokens(width: int):
             for row in range(len(batch)):
                 values = np.unique(tokens(words_of(batch.column(1)[row].as_py().encode()), width).astype(np.uint32).view(np.int32))
                 yield pa.record_batch([pa.array([batch.column(0)[row].as_py()], pa.int64()), pa.array([values], pa.list_(pa.int32()))], ["id", "tokens"])
+        _HASHES.clear()
 
     return run
 
 
+def numbered(values: np.ndarray) -> tuple[int, np.ndarray]:
+    """How many values differ, and each value's place among them; sorted by parts, as a crowd's tokens are many."""
+    among, place = np.unique(values), np.empty(len(values), np.int32)
+    for at in range(0, len(values), PLACES):
+        place[at : at + PLACES] = np.searchsorted(among, values[at : at + PLACES])
+    return len(among), place
+
+
 def _crowd(least: int, of: int):
     """A node (id, n, part, above, tokens) to its pairs of different parts that reach the threshold.
 
@@ -207,8 +219,8 @@ def _crowd(least: int, of: int):
         part, apart = node["part"].to_numpy(), node["part"].to_numpy() != node["above"].to_numpy()
         lists = node["tokens"].combine_chunks()
         ends = np.cumsum(np.diff(lists.offsets.to_numpy()))
-        _, flat = np.unique(lists.flatten().to_numpy(), return_inverse=True)
-        starts, mark = np.concatenate(([0], ends[:-1])), np.zeros(flat.max() + 1, np.int32)
+        size, flat = numbered(lists.flatten().to_numpy())
+        starts, mark = np.concatenate(([0], ends[:-1])), np.zeros(size, np.int32)
         first, second = [], []
         for x in np.flatnonzero(apart):
             own = flat[starts[x] : ends[x]]

@@ -43,6 +43,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: Longer unpacked data is scanned in windows of about this length.
 MAX_LAYER = 1 << 26
 PIECE = 1 << 20
+#: Redacted texts that a worker holds at a time.
+TEXTS = 64
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f]")
 #: Where no match, escape or base64 run goes on: behind other characters, an empty line, a line's last word that is no full line of base64, or between two words.
 _BREAK = re.compile(r"""[^A-Za-z0-9+/_=.\-%\\&#;{}\x20"':\r\n]|\n\r?\n|[\x20\n][A-Za-z0-9+/_=.-]{0,40}\r?\n|(?:[A-Za-z0-9]{10}|\x20[A-Za-z0-9]{1,9})\x20(?=[A-Za-z0-9])""")
@@ -562,8 +564,11 @@ def _scan(column: pa.Array) -> pa.Array:
     return pa.array([examine(t) for t in texts(column)], _RESULT_ARROW)
 
 
-def _redact(column: pa.Array) -> pa.Array:
-    return pa.array([None if not v.is_valid else redacted(v.as_py()) for v in column], pa.string())
+def _redact(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Whole texts come back, so a few at a time: a batch of them is large as Python objects."""
+    for batch in batches:
+        for at in range(0, len(batch), TEXTS):
+            yield pa.array([None if not v.is_valid else redacted(v.as_py()) for v in batch.slice(at, TEXTS)], pa.string())
 
 
 def scan(text: Column) -> Column:
